@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from emberline.llm import exact_dedup, quality_lines
+from emberline.llm import bpe, exact_dedup, quality_lines
 
 QUERIES = {
     "op2_quality_rules": quality_lines.op2_quality_rules,
+    "op4_bpe": bpe.op4_bpe,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
 }
 
