@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, exact_dedup, quality_lines
+from emberline.llm import bpe, exact_dedup, packing, quality_lines, warc
 
 QUERIES = {
     "op2_quality_rules": quality_lines.op2_quality_rules,
     "op4_bpe": bpe.op4_bpe,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_warc": warc.op8_warc,
 }
 
 ORACLES = {
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op8_warc": warc.ORACLE,
 }

@@ -74,7 +74,7 @@ def test_frequent_lines(spark):
 
 
 def test_depleted_documents_go(spark):
-    lines = [f"line number {k} of the shared boiler plate text here" for k in range(6)]
+    lines = [" ".join(f"shared{k}x{j}" for j in range(10)) for k in range(6)]
     pairs = [(i, "\n".join(lines) + f"\nown{i}") for i in range(30)]
     got = {r.doc_id: r for r in quality_rules(frame(spark, pairs), max_share=0.01).collect()}
     assert got[0].kept and not any(got[i].kept for i in range(1, 30))
