@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberline.llm.lineage import cut
+
 #: Buckets of (length, prefix hash). At most so many rows are ever broadcast.
 BUCKETS = 1 << 20
 PREFIX = 64
@@ -37,12 +39,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = rows.groupBy("_bucket").count().where("count > 1").select("_bucket", F.lit(True).alias("_shared"))
     rows = rows.join(F.broadcast(shared), "_bucket", "left")  # at most BUCKETS rows, whatever the input
     digest = F.sha2(F.col("_norm"), 256)
-    rows = rows.select("_id", "_chars", "_len", "_shared", (digest if digest_all else F.when(F.col("_shared"), digest)).alias("digest"))
+    # texts are read twice, once to count buckets and once to hash; from here on rows are short and written
+    rows = cut(rows.select("_id", "_chars", "_len", "_shared", (digest if digest_all else F.when(F.col("_shared"), digest)).alias("digest")))
     alone = rows.where(F.col("_shared").isNull()).select(F.col("_id").alias(id_col), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     same = rows.where(F.col("_shared"))
     best = F.min(F.struct((-F.col("_chars")).alias("a"), F.col("_id").isNull().alias("b"), F.col("_id").alias("c")))
     groups = same.groupBy(F.col("_len").alias("_l"), F.col("digest").alias("_d")).agg(best["c"].alias("keep_id"), F.count("*").alias("group_size"))
-    found = same.join(groups, (F.col("_len") == F.col("_l")) & (F.col("digest") == F.col("_d")))
+    # written, so that the join can split a group that many rows are in
+    found = same.join(cut(groups), (F.col("_len") == F.col("_l")) & (F.col("digest") == F.col("_d")))
     found = found.select(F.col("_id").alias(id_col), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
     return alone.unionByName(found)
 
