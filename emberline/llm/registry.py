@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, exact_dedup, packing, quality_lines, warc
+from emberline.llm import bpe, exact_dedup, minhash, packing, quality_lines, warc
 
 QUERIES = {
     "op2_quality_rules": quality_lines.op2_quality_rules,
+    "op3_minhash": minhash.op3_minhash,
     "op4_bpe": bpe.op4_bpe,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
