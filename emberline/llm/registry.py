@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, exact_dedup, minhash, packing, quality_lines, warc
+from emberline.llm import bpe, exact_dedup, minhash, packing, quality_lines, repeats, warc
 
 QUERIES = {
     "op2_quality_rules": quality_lines.op2_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_warc": warc.op8_warc,
+    "op9_suffix_array": repeats.op9_suffix_array,
 }
 
 ORACLES = {
