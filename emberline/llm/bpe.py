@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -48,6 +47,11 @@ def byte_names() -> list[str]:
     return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
 
 
+def lowered(text: str) -> str:
+    """NFC, then lower case letter by letter: a final sigma is no exception."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class Vocabulary:
     """Tokens and merges of a word-end BPE file of the tokenizers library."""
 
@@ -78,7 +82,16 @@ class Vocabulary:
 
     def pretokens(self, chunk: bytes) -> list[str | int]:
         """Words of a run without ASCII white space, and ids of special tokens."""
+        if chunk.isalpha():  # ASCII letters alone
+            return [chunk.lower().decode()]
         text = chunk.decode("utf-8", "replace")
+        if text.isascii():
+            if text[-1:] in ".,:;" and text[:-1].isalpha():
+                return [text[:-1].lower(), text[-1]]
+        elif text.isalpha():
+            word = lowered(text)
+            if word.isalpha():
+                return [word]
         parts = [text]
         if self.split and any(m in chunk for m in self.marks):
             parts = [p for p in self.split.split(text) if p]
@@ -87,9 +100,7 @@ class Vocabulary:
             if p in self.special:
                 out.append(self.special[p])
             else:
-                if not p.isascii():
-                    p = unicodedata.normalize("NFC", p).replace("Σ", "σ")  # lower-cased letter by letter
-                out += self.pieces.findall(p.lower())
+                out += self.pieces.findall(p.lower() if p.isascii() else lowered(p))
         return out
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
@@ -232,15 +243,15 @@ def vocabulary(path: str) -> Vocabulary:
 class Encoder:
     """Encodes texts chunk by chunk, keeping a bounded number of chunks already encoded."""
 
-    def __init__(self, encode_chunks: Callable[[list[bytes]], list[bytes]]):
-        self.encode_chunks = encode_chunks
+    def __init__(self, encode_chunks: Callable[[list[bytes]], list[bytes]], cached: int = CACHED):
+        self.encode_chunks, self.cached = encode_chunks, cached
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Makes sure that all the chunks are in the table returned."""
         missing = chunks.difference(self.new)
-        if len(self.new) + len(missing) > CACHED:
+        if len(self.new) + len(missing) > self.cached:
             self.old, self.new = self.new, {}
             missing = chunks
         unknown = []
@@ -286,8 +297,8 @@ def parts(text: bytes, limit: int) -> Iterator[bytes]:
 
 
 @lru_cache(maxsize=1)
-def tree_encoder(path: str) -> Encoder:
-    return Encoder(vocabulary(path).encode_chunks)
+def tree_encoder(path: str, cached: int = CACHED) -> Encoder:
+    return Encoder(vocabulary(path).encode_chunks, cached)
 
 
 def utf8(col: pa.Array) -> list[bytes]:
@@ -337,8 +348,5 @@ def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return encoded.mapInArrow(run, f"`{id_col}` {encoded.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
-
 def op4_bpe(spark, sf_dir: str) -> DataFrame:
     return digests(bpe_encode(spark.read.parquet(f"{sf_dir}/documents.parquet")))

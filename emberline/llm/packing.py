@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,8 @@ from emberline.llm import textbytes as tb
 from emberline.llm.lineage import cut
 
 CAPACITY = 2048
+#: Encoded words that a Python worker keeps, twice over.
+CACHED = 600_000
 #: Items that a group takes at first, and rows that a merged group may hold.
 GROUP, MOST = 20_000, 400_000
 #: Groups that meet at the next level of the tree.
@@ -30,30 +31,15 @@ FAN = 8
 ROOM = 4
 
 
-@lru_cache(maxsize=1)
-def library_encoder(path: str) -> bpe.Encoder:
-    """Chunks are encoded by the tokenizers library; a token never reaches across ASCII white space."""
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
-
-    def encode_chunks(chunks: list[bytes]) -> list[bytes]:
-        found = library.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    return bpe.Encoder(encode_chunks)
-
-
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """``id_col, piece, start, length, ids_crc32``: each document's ids and a closing id,
-    cut where they are longer than the capacity. Null and empty texts have the closing id alone."""
+    cut where they are longer than the capacity. The ids are those of the tokenizers library,
+    which the tests compare. Null and empty texts have the closing id alone."""
     path = path or bpe.default_vocabulary()
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(path)
+        encoder = bpe.tree_encoder(path, CACHED)
         for batch in batches:
             for i, j, _, _ in tb.slices(batch.column(1)):
                 of, start, length, crc = [], [], [], []
