@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, exact_dedup, minhash, packing, quality_lines, repeats, warc
+from emberline.llm import bpe, brown, exact_dedup, minhash, packing, quality_lines, repeats, warc
 
 QUERIES = {
     "op2_quality_rules": quality_lines.op2_quality_rules,
     "op3_minhash": minhash.op3_minhash,
     "op4_bpe": bpe.op4_bpe,
+    "op5_brown_lm": brown.op5_brown_lm,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_warc": warc.op8_warc,
