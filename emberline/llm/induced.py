@@ -87,6 +87,8 @@ class Minima:
     def least(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Of values[first..last], both included."""
         level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+        if len(self.levels) > 1 and len(first) > 1000:
+            return self._from_table(level, first, last)
         out = np.empty(len(first), self.levels[0].dtype)
         for k in np.unique(level):
             some = level == k
@@ -94,6 +96,11 @@ class Minima:
             out[some] = np.minimum(table[first[some]], table[last[some] + 1 - (1 << int(k))])
         return out
 
+    def _from_table(self, level: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        edge = np.concatenate(([0], np.cumsum([len(x) for x in self.levels])))[:-1]
+        table, base = np.concatenate(self.levels), edge[level]
+        return np.minimum(table[base + first], table[base + last + 1 - (1 << level.astype(np.int64))])
+
 
 def small_types(text: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the one that starts a letter later; the empty suffix is the smallest."""
@@ -115,7 +122,7 @@ def doubled(names: np.ndarray, depth: int) -> np.ndarray:
         follow = np.zeros(n, np.int64)
         follow[: n - h] = rank[h:] + 1
         key = rank * (int(follow.max()) + 1) + follow
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.concatenate(([0], np.cumsum(np.diff(key[order]) != 0)))
         rank = np.empty(n, np.int64)
         rank[order] = new
@@ -162,25 +169,45 @@ def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         done += take
 
 
-def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+FIELD, FIELDS = 9, 7
+
+
+def packed(text: np.ndarray, depth: int) -> np.ndarray | None:
+    """At each place the next FIELDS letters as one number, for texts of up to 2**FIELD - 1 letters."""
+    if int(text.max()) + 1 >= 1 << FIELD:
+        return None
+    n = len(text)
+    out = np.zeros(n + depth + FIELDS, np.int64)
+    letters = text.astype(np.int64) + 1  # 0 is beyond the end
+    for k in range(min(FIELDS, n)):
+        out[: n - k] |= letters[k:] << FIELD * (FIELDS - 1 - k)
+    return out
+
+
+def common(text: np.ndarray, words: np.ndarray | None, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at a and b, up to ``depth``."""
-    n, step = len(text), 8
+    n = len(text)
     out = np.zeros(len(a), np.uint16)
     live = np.arange(len(a))
     done = 0
     while len(live) and done < depth:
-        x, y = a[live], b[live]
-        same = np.ones(len(live), bool)
-        got = np.zeros(len(live), np.int64)
-        for k in range(done, min(done + step, depth)):
-            i, j = x + k, y + k
-            same &= (i < n) & (j < n)
-            same &= text[np.minimum(i, n - 1)] == text[np.minimum(j, n - 1)]
-            got += same
-        out[live] += got.astype(np.uint16)
+        x, y = a[live] + done, b[live] + done
+        if words is not None:
+            differ = words[x] ^ words[y]
+            same, step = differ == 0, FIELDS
+            ends = np.flatnonzero(~same)
+            rest, got = differ[ends], np.zeros(len(ends), np.uint16)
+            for k in range(1, FIELDS):
+                got += rest >> FIELD * (FIELDS - k) == 0
+            out[live[ends]] = done + got
+        else:
+            same, step = (x < n) & (y < n), 1
+            same &= text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)]
+            out[live[~same]] = done
         live = live[same]
         done += step
-    return out
+    out[live] = depth
+    return np.minimum(out, depth).astype(np.uint16)
 
 
 def starred_order(text: np.ndarray, small: np.ndarray, depth: int, memory: int, in_memory: int) -> np.ndarray:
@@ -193,7 +220,7 @@ def starred_order(text: np.ndarray, small: np.ndarray, depth: int, memory: int,
     if names.max() == len(star) - 1:
         return star[np.argsort(names, kind="stable")]
     if len(names) <= in_memory:
-        return star[np.argsort(doubled(names, depth), kind="stable")]
+        return star[np.argsort(doubled(names, depth // 2 + 2))]  # a name takes two letters at least
     return star[np.concatenate([at for at, _ in suffixes(names, depth, memory, in_memory)])]
 
 
@@ -213,10 +240,11 @@ def _induced(text: np.ndarray, depth: int, memory: int, in_memory: int) -> Itera
     if not n:
         return
     small = small_types(text)
+    words = packed(text, depth)
     star = starred_order(text, small, depth, memory, in_memory)
     shared = np.zeros(len(star), np.uint16)
     if len(star) > 1:
-        shared[1:] = common(text, star[1:], star[:-1], depth)
+        shared[1:] = common(text, words, star[1:], star[:-1], depth)
     letters = np.unique(text)
     edge = np.searchsorted(text[star], letters, side="left"), np.searchsorted(text[star], letters, side="right")
     cap = np.uint16(depth)
@@ -225,7 +253,7 @@ def _induced(text: np.ndarray, depth: int, memory: int, in_memory: int) -> Itera
         """Two stretches of one letter's suffixes, the prefix shared where they meet counted."""
         if not len(a[0]) or not len(b[0]):
             return a if len(a[0]) else b
-        meet = common(text, a[0][-1:], b[0][:1], depth)
+        meet = common(text, words, a[0][-1:], b[0][:1], depth)
         return np.concatenate((a[0], b[0])), np.concatenate((a[1], meet, b[1][1:]))
 
     def layers(letter: int, at: np.ndarray, lcp: np.ndarray, kind: bool) -> tuple[np.ndarray, np.ndarray]:

@@ -22,18 +22,20 @@ from pyspark.sql import functions as F
 
 from emberline.llm import textbytes as tb
 from emberline.llm.components import components
-from emberline.llm.lineage import cut
+from emberline.llm.lineage import cut, written
 
-#: A coordinate is two minima taken together: sets of Jaccard 0.8 agree in one with
-#: probability 0.64, and in fewer than MATCHES of COORDINATES once in 40 million pairs.
-COORDINATES, MINIMA, MATCHES = 32, 2, 6
+#: Sets of Jaccard 0.8 agree in a coordinate with probability 0.8, and in fewer than
+#: MATCHES of COORDINATES once in 40 million pairs.
+COORDINATES, MATCHES = 64, 32
 PERCENT, WORDS = 80, 5
+#: Members of a list's largest component against which the rest of the list is held, and how often, before all are.
+HUBS, TURNS = 12, 2
 #: So many documents to be confirmed at most are looked up by a broadcast of their ids; more, by a shuffle.
 BROADCAST_IDS = 500_000
 
 U = tb.U
-FACTORS = (tb.mix(np.arange(1, COORDINATES * MINIMA + 1, dtype=U)) >> U(32)).astype(np.uint32) | np.uint32(1)
-SHIFTS = (tb.mix(np.arange(1001, COORDINATES * MINIMA + 1001, dtype=U)) >> U(32)).astype(np.uint32)
+FACTORS = (tb.mix(np.arange(1, COORDINATES + 1, dtype=U)) >> U(32)).astype(np.uint32) | np.uint32(1)
+SHIFTS = (tb.mix(np.arange(1001, COORDINATES + 1001, dtype=U)) >> U(32)).astype(np.uint32)
 LOW = U((1 << 52) - 1)
 
 
@@ -67,20 +69,16 @@ def set_keys(row: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray,
 
 
 def signatures(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
-    """Coordinate-value keys: 64-bit numbers that hold the coordinate in their low bits; 0 where a row has no set."""
+    """The least of COORDINATES hashes of each row's items; 0 where a row has none."""
     edge = np.searchsorted(row, np.arange(rows + 1))
     full = np.flatnonzero(np.diff(edge))
-    out = np.zeros((rows, COORDINATES), U)
+    out = np.zeros((rows, COORDINATES), np.uint32)
     if len(full):
         x = (tb.mix(value) >> U(32)).astype(np.uint32)
         start = edge[full]
         for c in range(COORDINATES):
-            key = np.full(len(full), U(c + 1))
-            for m in range(c * MINIMA, (c + 1) * MINIMA):
-                least = np.minimum.reduceat((x ^ SHIFTS[m]) * FACTORS[m], start)
-                key = tb.mix(key * U(tb.ROOT) + least)
-            out[full, c] = key & ~U(COORDINATES - 1) | U(c)
-    return out.view(np.int64)
+            out[full, c] = np.minimum.reduceat((x ^ SHIFTS[c]) * FACTORS[c], start)
+    return out.view(np.int32)
 
 
 def _sketch(n: int):
@@ -113,6 +111,36 @@ def _sets(n: int):
     return run
 
 
+def _prefixes(posts: DataFrame, total, length, *names: str) -> DataFrame:
+    """Of each node's ``total`` postings (node, key) the ``length`` rarest, without those of one node alone.
+
+    ``centre`` tells how much a node has in common with others: most for the one that near
+    copies were made from.
+    """
+    shared = posts.groupBy("key").count().where("count > 1")
+    lists = posts.join(shared, "key").groupBy("node", *names).agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("p"))
+    # postings of one node alone come first in the order and take their places in the prefix
+    room = (length - (total - F.size("p"))).cast("int")
+    centre = F.aggregate("p", F.lit(0).cast("long"), lambda n, x: n + x["count"])
+    first = total - F.size("p")
+    lists = lists.where(room > 0).select("node", *names, centre.alias("centre"), first.alias("first"), F.posexplode(F.slice("p", F.lit(1), room)).alias("at", "p"))
+    return lists.select("node", *names, "centre", F.col("p.key").alias("key"), (F.col("first") + F.col("at")).alias("place"))
+
+
+def _places(share: float):
+    """Of a set's ``size`` items in order, the first of which it shares one with any set that has that share of them."""
+    return (F.col("size") - F.ceil(F.col("size") * share - 1e-6) + 1).cast("int")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """The rows, to be broadcast if they are BROADCAST_IDS at most."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, component_id, kept``.
 
@@ -124,50 +152,83 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if percent < 80:
         raise ValueError("the signature's match threshold holds for 80 percent and more")
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text"))
-    rows = cut(plain.mapInArrow(_sketch(words), "id long, size long, k1 long, k2 long, sig array<long>").withColumn("row", F.monotonically_increasing_id()))
+    rows = cut(plain.mapInArrow(_sketch(words), "id long, size long, k1 long, k2 long, sig array<int>").withColumn("row", F.monotonically_increasing_id()))
     classes = rows.where("size > 0").groupBy("size", "k1", "k2").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.first("sig").alias("sig"))
     classes = cut(classes)
 
-    posts = classes.select("node", "size", F.explode("sig").alias("key"))
-    shared = posts.groupBy("key").count().where("count > 1")
-    lists = posts.join(shared, "key").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("p"))
-    # postings of one class alone come first in the order and take their places in the prefix
-    room = F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.size("p"))
-    prefix = lists.where(room > 0).select("node", "size", F.explode(F.slice("p", F.lit(1), room)).alias("p")).select("node", "size", F.col("p.key").alias("key"))
-    prefix = cut(prefix)
+    posts = classes.select("node", "size", F.posexplode("sig").alias("at", "value"))
+    posts = posts.select("node", "size", (F.col("value").cast("long") * COORDINATES + F.col("at")).alias("key"))
+    prefix = _prefixes(posts, F.lit(COORDINATES), F.lit(COORDINATES - MATCHES + 1), "size")
+    prefix = cut(prefix.drop("place"))
 
     def close(a: str, b: str):
         return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a < b) that collide often enough and whose sets are similar."""
-        sig = classes.select("node", "sig")
-        pairs = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-        pairs = cut(pairs.where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b"))
-        involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        involved = cut(involved.join(classes.select("node", "least", "k1", "k2"), "node"))
-        few = involved.count() <= BROADCAST_IDS
-        wanted = F.broadcast(involved) if few else involved
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Full shingle sets of the classes, from the text of one document of each."""
+        wanted = cut(_few(nodes).join(classes.select("node", "least", "k1", "k2"), "node"))
+        wanted = _few(wanted)
         texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["least"])).select("node", "k1", "k2", "_text")
-        sets = texts.mapInArrow(_sets(words), "node long, items array<long>").groupBy("node").agg(F.first("items").alias("items"))
-        sets = cut(sets)
+        # a document that repeats gives its set again, which does no harm
+        return written(texts.mapInArrow(_sets(words), "node long, items array<long>"))
+
+    def colliding(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that agree in enough coordinates."""
+        sig = cut(classes.select("node", "sig").join(_few(cut(_nodes(pairs))), "node"))
+        pairs = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
+        hits = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+        return cut(pairs.where(hits >= MATCHES).select("a", "b"))
+
+    def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
         common = F.size(F.array_intersect("ia", "ib"))
-        return both.where(100 * common >= percent * (F.size("ia") + F.size("ib") - common)).select("a", "b")
+        return both.where(100 * common >= percent * (F.size("ia") + F.size("ib") - common)).select("a", "b").distinct()
 
-    hubs = prefix.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = colliding(pairs)
+        return similar(pairs, sets_of(cut(_nodes(pairs))))
+
+    hubs = prefix.groupBy("key").agg(F.max(F.struct("centre", "node", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"))
     stars = prefix.join(cut(hubs), "key").where("node <> a").where(close("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
     links = cut(confirmed(cut(stars)))
-    found = cut(components(links))
-
-    # members of one list that the first links have not joined
-    placed = prefix.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    apart = cut(placed.join(mixed, "key"))
-    left = apart.select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
-    cross = left.join(apart, "key").where("a < node and ca <> component").where(close("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
-    more = confirmed(cut(cross))
-    found = components(links.unionByName(more))
+
+    def apart() -> DataFrame:
+        """Members of lists that the links so far don't join, with their components."""
+        found = cut(components(links))
+        placed = prefix.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        return cut(placed.join(mixed, "key").select("key", "node", "size", "component"))
+
+    def between(some: DataFrame, others: DataFrame) -> DataFrame:
+        left = some.select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
+        pairs = left.join(others, "key").where("ca <> component").where(close("size", "size_a"))
+        return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+    # most of those that are near a large component are near some of its members, taken by chance
+    for turn in range(TURNS):
+        rest = apart()
+        shares = rest.groupBy("key", "component").agg(F.count("*").alias("n"))
+        main = cut(shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).where("main.n > 1").select("key", F.col("main.component").alias("main")))
+        rest = cut(rest.join(main, "key"))
+        by_chance = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "size")
+        hubs = rest.where("component = main").groupBy("key").agg(F.min(by_chance).alias("h0"), *[F.min(F.when(F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(HUBS)) == k, by_chance)).alias(f"h{k}") for k in range(1, HUBS)])
+        hubs = hubs.select("key", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("h")).where("h is not null").select("key", "h.node", "h.size").distinct()
+        hubs = cut(hubs.join(main.withColumnRenamed("main", "component"), "key"))
+        links = cut(links.unionByName(confirmed(cut(between(hubs, rest.where("component <> main").drop("main"))))))
+    # For what is still apart, prefixes of the full sets: of two similar sets the larger has
+    # one of the items that are rarest in the smaller among its own rarest, and enough come
+    # after it in both.
+    rest = cut(apart().select("node", "size", "component").distinct())
+    sets = sets_of(cut(rest.select("node")))
+    items = sets.join(rest, "node").select("node", "size", "component", F.explode("items").alias("key"))
+    rare = cut(_prefixes(items, F.col("size"), _places(percent / 100), "size", "component").drop("centre"))
+    small = rare.where(F.col("place") < _places(2 * percent / (100 + percent))).select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("place").alias("place_a"))
+    pairs = small.join(rare, "key").where("ca <> component and (size_a < size or (size_a = size and a < node))").where(close("size", "size_a"))
+    needed = (F.col("size_a") + F.col("size")) * percent / (100 + percent)
+    pairs = pairs.where(F.least(F.col("size_a") - F.col("place_a"), F.col("size") - F.col("place")) + 1e-6 >= needed)
+    pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    links = links.unionByName(similar(cut(pairs), sets))
+    found = components(links)
 
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = cut(placed.select("size", "k1", "k2", "component", "least"))

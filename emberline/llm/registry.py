@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, brown, exact_dedup, minhash, packing, quality_lines, repeats, warc
+from emberline.llm import bpe, brown, exact_dedup, fuzzy_lines, minhash, packing, quality_lines, repeats, warc
 
 QUERIES = {
+    "op1_fuzzy_lines": fuzzy_lines.op1_fuzzy_lines,
     "op2_quality_rules": quality_lines.op2_quality_rules,
     "op3_minhash": minhash.op3_minhash,
     "op4_bpe": bpe.op4_bpe,

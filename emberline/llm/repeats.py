@@ -25,8 +25,8 @@ LENGTH, KMER = 400, 32
 SHARD = 3 << 20
 #: Bytes whose windows are looked at together; positions among them take PLACE bits.
 SPAN, PLACE = 1 << 19, 20
-#: Lists of so many stretches or spans at most are broadcast to the texts; longer ones are shuffled with them.
-BROADCAST = 400_000
+#: Buckets of text hashes: at most so many rows tell which texts take part in a shuffle.
+BUCKETS = 1 << 20
 U = tb.U
 
 
@@ -146,8 +146,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("_text"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
 
 
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST else df
+def _split(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that may be among the keys (by a bucket of ``h1``), and those that are not."""
+    bucket = F.pmod("h1", F.lit(BUCKETS)).cast("int").alias("_bucket")
+    taken = F.broadcast(keys.select(bucket, F.lit(True).alias("_taken")).distinct())  # BUCKETS rows at most
+    rows = rows.withColumn("_bucket", bucket).join(taken, "_bucket", "left")
+    return rows.where("_taken").drop("_bucket", "_taken"), rows.where("_taken is null").drop("_bucket", "_taken")
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -167,9 +171,9 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     several = kinds.groupBy("key").count().where("count > 1").select("key")
     to_sort = kinds.join(several, "key").select("at.h1", "at.h2", "at.id", F.struct("key", "whole", F.col("at.start").alias("start"), "windows").alias("part"))
     to_sort = cut(to_sort)
-    n, size = to_sort.agg(F.count("*"), F.sum(F.col("part.windows") + length)).first()
+    size = to_sort.agg(F.sum(F.col("part.windows") + length)).first()[0]
     wanted = to_sort.groupBy("h1", "h2", F.col("id").alias("id_")).agg(F.collect_list("part").alias("parts"))
-    held = rows.join(_sized(wanted, n), ["h1", "h2"]).where(F.col("id").eqNullSafe(F.col("id_"))).select("_text", "parts")
+    held = _split(rows, to_sort)[0].join(wanted, ["h1", "h2"]).where(F.col("id").eqNullSafe(F.col("id_"))).select("_text", "parts")
     shards = max(1, -(-(size or 0) // SHARD))
     pieces = held.mapInArrow(_cut_out(length), "key long, whole long, windows int, bytes binary").repartition(shards, "key")
     runs = pieces.mapInArrow(_sorted_shard(length), "key long, whole long, lo int, hi int")
@@ -227,8 +231,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts as empty; texts shorter than ``length`` stay whole. Ids may be null or repeat.
     """
     runs = cut(repeated_windows(docs, id_col, text_col, length))
-    n = runs.agg(F.sum(F.size("runs"))).first()[0] or 0
-    rows = _keyed(docs, id_col, text_col).join(_sized(runs, n), ["h1", "h2"], "left").select("id", "_text", "runs")
+    some, others = _split(_keyed(docs, id_col, text_col), runs)
+    some = some.join(runs, ["h1", "h2"], "left").select("id", "_text", "runs")
+    rows = some.unionByName(others.select("id", "_text", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")))
     id_type = docs.schema[id_col].dataType.simpleString()
     out = rows.mapInArrow(_removed(length, characters), f"id {id_type}, n_bytes long, start array<int>, end array<int>, kept binary")
     return out.withColumnRenamed("id", id_col)
