@@ -30,6 +30,17 @@ def test_odd_texts(text):
     assert own(text) == library(text)
 
 
+def test_every_character():
+    """Each code point next to a letter, a digit and a sign."""
+    vocab = bpe.vocabulary(PATH)
+    some = [chr(c) for c in range(0x80, 0x40000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{x}1:{x}:" for x in some]
+    got = vocab.encode_chunks([t.encode() for t in texts])
+    spaces = {x for x in some if x.isspace() or x in "\x1c\x1d\x1e\x1f"}
+    want = LIBRARY.encode_batch(texts, add_special_tokens=False)
+    assert [x for x, g, w in zip(some, got, want) if x not in spaces and list(memoryview(g).cast("I")) != w.ids] == []
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from("aeinorst 'SΣ\n<|>é1"), st.characters(codec="utf-8", max_codepoint=0x2FFF)), max_size=60))
 def test_any_text(text):
