@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, brown, exact_dedup, fuzzy_lines, minhash, packing, quality_lines, repeats, warc
+from emberline.llm import bpe, brown, exact_dedup, fuzzy_lines, minhash, packing, quality_lines, repeats, token_counts, warc
 
 QUERIES = {
     "op1_fuzzy_lines": fuzzy_lines.op1_fuzzy_lines,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_warc": warc.op8_warc,
     "op9_suffix_array": repeats.op9_suffix_array,
+    "op10_edit_counts": token_counts.op10_edit_counts,
 }
 
 ORACLES = {
