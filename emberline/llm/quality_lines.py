@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm import textbytes as tb
@@ -28,11 +29,19 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 WINDOW = 8
 
-SCHEMA = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, body long, line_hash array<long>, line_words array<int>"
+SCHEMA = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, body long, line_hash array<long>, line_words array<int>, text_key long"
 SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 FOLLOWS = (np.arange(256) & 0xC0) == 0x80  # UTF-8 continuation bytes
 
 
+WHITE = " \t\n\v\f\r"
+
+
+def key_of(text_col: str, host_col: str) -> Column:
+    """Tells rows of one id apart: a hash of text and host."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(host_col).cast("string"), F.lit("\0")))
+
+
 def repeated_words(w: tb.Words, n: int, rows: int) -> np.ndarray:
     """Per row: words in windows of n words that the row has twice or more."""
     at, h = tb.windows(w, n)
@@ -46,8 +55,9 @@ def repeated_words(w: tb.Words, n: int, rows: int) -> np.ndarray:
 
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Base counts of each document, and hash and word count of its lines that have a word."""
+    """Base counts of each document, and hash and word count of its lines that have a word; ``text_key`` goes along."""
     for batch in batches:
+        along = [n for n in batch.schema.names if n == "text_key"]
         for i, j, text, offs in tb.slices(batch.column("text")):
             rows = j - i
             w = tb.words(text, offs, lower=False)
@@ -82,8 +92,9 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(body.view(np.int64)),
                     pa.ListArray.from_arrays(edges, pa.array(norm.view(np.int64))),
                     pa.ListArray.from_arrays(edges, pa.array((after - first).astype(np.int32))),
+                    *[batch.column(n)[i:j] for n in along],
                 ],
-                names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "body", "line_hash", "line_words"],
+                names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "body", "line_hash", "line_words", *along],
             )
 
 
@@ -97,8 +108,8 @@ def quality_rules(
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """One row per input row: base counts, ``base_failed``, ``kept``, ``n_lines_removed``,
-    ``n_words_left`` and ``drop_lines`` (0-based indexes, among lines with a word, of
-    those to remove).
+    ``n_words_left``, ``drop_lines`` (0-based indexes, among lines with a word, of
+    those to remove) and ``text_key`` (``key_of`` the text and its host).
 
     A line counts once for each different document body of a host, so exact copies
     don't make boilerplate of one another. The document with the smallest id keeps a
@@ -106,7 +117,7 @@ def quality_rules(
     own, empty documents fail the base rules; rows with one id are counted each by
     itself. Other columns are not looked at. An empty table gives an empty result.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).alias("host"))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).alias("host"), key_of(text_col, host_col).alias("text_key"))
     rows = cut(plain.mapInArrow(measured, SCHEMA).withColumn("row", F.monotonically_increasing_id()))
     held = rows.select("host", "doc_id", "row", "body", F.explode(F.array_distinct("line_hash")).alias("line"))
     bodies = held.groupBy("host", "line", "body").agg(F.min(F.struct("doc_id", "row")).alias("first"))
@@ -125,23 +136,29 @@ def quality_rules(
     rows = rows.withColumn("drop_lines", F.when(F.size("often") > 0, at).otherwise(F.array().cast("array<int>")))
     return rows.select(
         F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & (F.col("n_words_left") >= F.col("n_words") * min_left)).alias("kept"), F.size("drop_lines").alias("n_lines_removed"), "n_words_left", "drop_lines",
+        (~failed & (F.col("n_words_left") >= F.col("n_words") * min_left)).alias("kept"), F.size("drop_lines").alias("n_lines_removed"), "n_words_left", "drop_lines", "text_key",
     )
 
 
-def without_lines(text, drop):
+def without_lines(text: Column, drop: Column) -> Column:
     """The text without the lines (those with a word counted from 0) that ``drop`` lists."""
-    lines = F.split(text, "\n")
-    has_word = F.transform(lines, lambda x: F.when(x.rlike(r"[^\x20\x09-\x0D]"), 1).otherwise(0))
-    zero = F.struct(F.lit(-1).alias("i"), F.array().cast("array<string>").alias("out"))
-    step = lambda a, x: F.struct(
-        (a["i"] + x["w"]).alias("i"),
-        F.when((x["w"] == 1) & F.array_contains(drop, a["i"] + x["w"]), a["out"]).otherwise(F.concat(a["out"], F.array(x["l"]))).alias("out"),
-    )
-    kept = F.aggregate(F.arrays_zip(lines.alias("l"), has_word.alias("w")), zero, step, lambda a: a["out"])
-    return F.when(F.size(drop) > 0, F.array_join(kept, "\n")).otherwise(text)
+
+    def run(texts: pd.Series, drops: pd.Series) -> pd.Series:
+        out = []
+        for t, d in zip(texts, drops):
+            if t and d is not None and len(d):
+                gone, lines, n = set(d), [], -1
+                for line in t.split("\n"):
+                    n += (word := bool(line.strip(WHITE)))
+                    if not (word and n in gone):
+                        lines.append(line)
+                t = "\n".join(lines)
+            out.append(t)
+        return pd.Series(out, dtype=object)
+
+    return F.when(F.size(drop) > 0, F.pandas_udf(run, "string")(text, drop)).otherwise(text)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
     found = quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.drop("drop_lines")
+    return found.drop("drop_lines", "text_key")
