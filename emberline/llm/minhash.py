@@ -32,6 +32,8 @@ PERCENT, WORDS = 80, 5
 HUBS, TURNS = 12, 2
 #: So many documents to be confirmed at most are looked up by a broadcast of their ids; more, by a shuffle.
 BROADCAST_IDS = 500_000
+#: Buckets of shingle hashes; how many sets a bucket's shingles are in gives shingles their order, rare ones first.
+ORDER_BITS = 18
 
 U = tb.U
 FACTORS = (tb.mix(np.arange(1, COORDINATES + 1, dtype=U)) >> U(32)).astype(np.uint32) | np.uint32(1)
@@ -111,6 +113,47 @@ def _sets(n: int):
     return run
 
 
+def _buckets(value: np.ndarray) -> np.ndarray:
+    return (value >> U(52 - ORDER_BITS)).astype(np.int64)
+
+
+def _counted(n: int):
+    """How many items of the rows' sets each bucket has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for _, _, text, offs in tb.slices(batch.column("_text")):
+                total += np.bincount(_buckets(shingles(text, offs, n)[1]), minlength=1 << ORDER_BITS)
+        full = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], names=["bucket", "n"])
+
+    return run
+
+
+def _rarest(n: int, share: float, often: np.ndarray):
+    """Of each set, in the order of its buckets' numbers, the items among which it has one
+    of any set that has ``share`` of them, with their places in that order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2 = (np.asarray(batch.column(c)) for c in ("k1", "k2"))
+            for i, j, text, offs in tb.slices(batch.column("_text")):
+                row, value = shingles(text, offs, n)
+                size, a, b = set_keys(row, value, j - i)
+                by = np.lexsort((value, often[_buckets(value)], row))
+                value = value[by]
+                place = np.arange(len(row)) - np.searchsorted(row, np.arange(j - i))[row]
+                first = size - np.ceil(size * share - 1e-6) + 1
+                right = (a == k1[i:j]) & (b == k2[i:j])
+                take = right[row] & (place < first[row])
+                at = pa.array(row[take])
+                along = [batch.column(c)[i:j].take(at) for c in ("node", "size", "component")]
+                yield pa.RecordBatch.from_arrays([*along, pa.array(value[take].view(np.int64)), pa.array(place[take].astype(np.int32))], names=["node", "size", "component", "key", "place"])
+
+    return run
+
+
 def _prefixes(posts: DataFrame, total, length, *names: str) -> DataFrame:
     """Of each node's ``total`` postings (node, key) the ``length`` rarest, without those of one node alone.
 
@@ -159,18 +202,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     posts = classes.select("node", "size", F.posexplode("sig").alias("at", "value"))
     posts = posts.select("node", "size", (F.col("value").cast("long") * COORDINATES + F.col("at")).alias("key"))
     prefix = _prefixes(posts, F.lit(COORDINATES), F.lit(COORDINATES - MATCHES + 1), "size")
-    prefix = cut(prefix.drop("place"))
+    prefix = written(prefix.drop("place"))
 
     def close(a: str, b: str):
         return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
 
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        """Full shingle sets of the classes, from the text of one document of each."""
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """The text of one document of each class, with the set's keys; a document that repeats gives it again, which does no harm."""
         wanted = cut(_few(nodes).join(classes.select("node", "least", "k1", "k2"), "node"))
         wanted = _few(wanted)
-        texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["least"])).select("node", "k1", "k2", "_text")
-        # a document that repeats gives its set again, which does no harm
-        return written(texts.mapInArrow(_sets(words), "node long, items array<long>"))
+        return plain.join(wanted, plain["id"].eqNullSafe(wanted["least"])).select(*nodes.columns, "k1", "k2", "_text")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Full shingle sets of the classes."""
+        return written(texts_of(nodes).mapInArrow(_sets(words), "node long, items array<long>"))
 
     def colliding(pairs: DataFrame) -> DataFrame:
         """Those of the pairs that agree in enough coordinates."""
@@ -218,16 +263,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # For what is still apart, prefixes of the full sets: of two similar sets the larger has
     # one of the items that are rarest in the smaller among its own rarest, and enough come
     # after it in both.
-    rest = cut(apart().select("node", "size", "component").distinct())
-    sets = sets_of(cut(rest.select("node")))
-    items = sets.join(rest, "node").select("node", "size", "component", F.explode("items").alias("key"))
-    rare = cut(_prefixes(items, F.col("size"), _places(percent / 100), "size", "component").drop("centre"))
+    texts = texts_of(cut(apart().select("node", "size", "component").distinct()))
+    often = np.ones(1 << ORDER_BITS, np.int32)
+    for r in texts.select("_text").mapInArrow(_counted(words), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # one row for each bucket at most
+        often[r.bucket] = min(r.n, (1 << 31) - 1)
+    rare = written(texts.mapInArrow(_rarest(words, percent / 100, often), "node long, size long, component long, key long, place int"))
     small = rare.where(F.col("place") < _places(2 * percent / (100 + percent))).select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("place").alias("place_a"))
     pairs = small.join(rare, "key").where("ca <> component and (size_a < size or (size_a = size and a < node))").where(close("size", "size_a"))
     needed = (F.col("size_a") + F.col("size")) * percent / (100 + percent)
     pairs = pairs.where(F.least(F.col("size_a") - F.col("place_a"), F.col("size") - F.col("place")) + 1e-6 >= needed)
-    pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    links = links.unionByName(similar(cut(pairs), sets))
+    pairs = cut(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+    links = links.unionByName(similar(pairs, sets_of(cut(_nodes(pairs)))))
     found = components(links)
 
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
