@@ -273,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     needed = (F.col("size_a") + F.col("size")) * percent / (100 + percent)
     pairs = pairs.where(F.least(F.col("size_a") - F.col("place_a"), F.col("size") - F.col("place")) + 1e-6 >= needed)
     pairs = cut(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    links = links.unionByName(similar(pairs, sets_of(cut(_nodes(pairs)))))
+    links = links.unionByName(confirmed(pairs))
     found = components(links)
 
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
