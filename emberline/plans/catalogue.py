@@ -1,6 +1,8 @@
-"""Registered queries and their SQL, gathered from the modules of this package."""
+"""All registered queries but those of the training-data operators, and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from emberline.plans import grids, points
+
+QUERIES = points.QUERIES | grids.QUERIES
+ORACLES = points.ORACLES | grids.ORACLES
