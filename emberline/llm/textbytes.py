@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; longer texts are taken whole.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Bytes that are hashed at once, cut at word starts.
 BLOCK = 1 << 18
 ROOT = 0x9E3779B97F4A7C15 | 1
