@@ -20,7 +20,7 @@ from emberline.llm import textbytes as tb
 from emberline.llm.lineage import cut
 
 #: A line is boilerplate of a host when more documents than this, and more than
-#: MAX_SHARE of the host's documents, hold it.
+#: MAX_SHARE of the host's documents, hold it; on both sides, documents of one body are one.
 MAX_DOCS = 10
 MAX_SHARE = 0.01
 #: A document is depleted when less than this share of its words remains.
@@ -112,7 +112,8 @@ def quality_rules(
     those to remove) and ``text_key`` (``key_of`` the text and its host).
 
     A line counts once for each different document body of a host, so exact copies
-    don't make boilerplate of one another. The document with the smallest id keeps a
+    don't make boilerplate of one another; nor do copies and empty documents count in
+    the host's documents, so they don't hide any. The document with the smallest id keeps a
     line of which the other copies go. Null text is empty, a null host is a host of its
     own, empty documents fail the base rules; rows with one id are counted each by
     itself. Other columns are not looked at. An empty table gives an empty result.
@@ -122,8 +123,8 @@ def quality_rules(
     held = rows.select("host", "doc_id", "row", "body", F.explode(F.array_distinct("line_hash")).alias("line"))
     bodies = held.groupBy("host", "line", "body").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     per_line = bodies.groupBy("host", "line").agg(F.count("*").alias("n"), F.min("first")["row"].alias("keeper")).where(F.col("n") > max_docs)
-    per_host = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
-    often = per_line.join(per_host, "host").where(F.col("n") > F.col("host_docs") * max_share).select("host", "line", "keeper")
+    per_host = rows.where(F.size("line_hash") > 0).select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("host_bodies"))
+    often = per_line.join(per_host, "host").where(F.col("n") > F.col("host_bodies") * max_share).select("host", "line", "keeper")
     found = held.select("host", "row", "line").join(often, ["host", "line"]).where("row <> keeper")
     found = found.groupBy("row").agg(F.collect_set("line").alias("often"))
     rows = rows.join(found, "row", "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))

@@ -81,6 +81,14 @@ def test_depleted_documents_go(spark):
     assert all(got[i].n_words_left == 1 for i in range(1, 30))
 
 
+def test_copies_and_empty_documents_hide_no_boilerplate(spark):
+    note = "All rights reserved by the owners of this site"
+    pairs = [(k * 15 + i, f"{' '.join(f'w{i}x{j}' for j in range(30))}\n{note}") for k in range(100) for i in range(15)]
+    pairs += [(10_000 + i, " \n" if i % 2 else None) for i in range(500)]
+    got = {r.doc_id: r for r in quality_rules(frame(spark, pairs)).collect()}  # 15 of 2000 rows, of 15 bodies
+    assert got[0].n_lines_removed == 0 and all(got[i].n_lines_removed == 1 for i in range(1, 1500))
+
+
 def test_key_does_not_depend_on_place():
     text = np.frombuffer(b"one two one " + b"y" * (1 << 19) + b" one", np.uint8)
     w = tb.words(text, np.array([0, len(text)]), lower=False)
