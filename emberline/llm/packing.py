@@ -115,7 +115,7 @@ def pack(items: DataFrame, size_col: str = "length", capacity: int = CAPACITY, g
 
     done = rows.where("_done")
     rest = rows.where("not _done")
-    left = rest.count()
+    bins = left = rest.count()
     groups = max(1, -(-left // group))
     rest = rest.withColumn("_group", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
     for level in range(1, 60):
@@ -123,12 +123,14 @@ def pack(items: DataFrame, size_col: str = "length", capacity: int = CAPACITY, g
             break
         packed = cut(rest.groupBy("_group").applyInPandas(repack(level), schema))
         done = done.unionByName(packed.where("_done"))
-        rest, was = packed.where("not _done"), left
-        left = rest.count()
-        if groups == 1 or (left == was and level > 1):
+        rest, had, were = packed.where("not _done"), bins, groups
+        left, bins = rest.agg(F.count("*"), F.countDistinct("sequence_id")).first()
+        if groups == 1:
             break
         # a bin's group is one number in all its rows, so bins stay whole as groups merge
         groups = max(1, -(-groups // fan), -(-left // MOST))
+        if groups >= were and bins >= had:
+            break
         rest = rest.withColumn("_group", F.pmod(F.col("_group"), F.lit(groups)))
     return done.unionByName(rest).select(*names, "sequence_id", "offset")
 

@@ -62,3 +62,9 @@ def test_awkward(spark):
     assert pack(pieces(frame(spark, []))).count() == 0
     with pytest.raises(Exception, match="larger than the capacity"):
         pack(spark.createDataFrame([(3000,)], "length long")).count()
+
+
+def test_groups_merge_though_no_bin_fills(spark):
+    items = spark.createDataFrame([(i, 40) for i in range(64)], "id long, length long")
+    got = pack(items, capacity=100, group=4, fan=2, room=1).collect()
+    assert len(got) == 64 and gapless([(r.length, r.sequence_id, r.offset) for r in got], 100) == 32
