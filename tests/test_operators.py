@@ -149,6 +149,24 @@ def walk(rows, km, hours):
     return of
 
 
+def test_neighbours_near_poles_and_across_180(spark):
+    rng = random.Random(6)
+    places = [(rng.choice([70, 80, 89.9]) + rng.random() * 0.1, rng.choice([-180, 179.7]) + rng.random() * 0.3) for _ in range(60)]
+    places += [(70.0, 10.0), (70.0, 10.25), (89.99, 0.0), (89.99, 180.0), (-70.0, -179.9), (-70.0, 179.9)]
+    rows = [(i, T0, 0.0, 0.0, a, b) for i, (a, b) in enumerate(places)]
+    got = clusters.neighbours(spark.createDataFrame(rows, DETECTION + ", latitude double, longitude double"), 10, 6)
+
+    def km(p, q):
+        (a, b), (c, d) = (map(math.radians, x) for x in (p, q))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * geo.EARTH_KM * math.asin(math.sqrt(h))
+
+    want = {(i, j) for i, p in enumerate(places) for j, q in enumerate(places) if i != j and km(p, q) <= 10}
+    found = [(r.det_id, r.other_id) for r in got.collect()]
+    assert set(found) == want and len(found) == len(want)
+    assert {(60, 61), (62, 63), (64, 65)} <= want
+
+
 def test_clusters_equal_a_walk(spark):
     rng = random.Random(8)
     rows = [(i, T0 + (i // 2) * HOUR, rng.randrange(20) * 1000.0, rng.randrange(20) * 1000.0) for i in range(150)]  # ties in time and distance
