@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.lineage import cut
+from emberline.llm.lineage import cut, parts
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Links each larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(n).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Links a node and its smaller neighbours to the least of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     joined = edges.join(least, "a")
-    return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).coalesce(n).distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,14 +27,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Large-star and small-star steps in turn, each written before the next; groups are
     counted before they are shuffled, and no neighbourhood is gathered in one row. Loops,
-    repeated links and nulls do no harm; nodes with loops only are left out.
+    repeated links and nulls do no harm; nodes with loops only are left out. Steps take as
+    many tasks as the links ask for.
     """
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     edges = cut(edges)
     seen = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
+        n = parts(now[0])
+        edges = edges.coalesce(n)
         if seen == now or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         seen = now
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut(_small_star(_large_star(edges, n).coalesce(n), n).coalesce(n))

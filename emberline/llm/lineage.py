@@ -21,6 +21,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Rows of a short table (keys, links) that one task may take.
+ROWS = 100_000
+
+
+def parts(rows: int) -> int:
+    """Into how many partitions so many short rows go."""
+    return max(4, -(-rows // ROWS))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once and read from there by all that follows."""
     shared_folder(df.sparkSession)
@@ -33,3 +42,11 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table of ``written`` that nothing will read again; results made from it must be written by then."""
+    files = table.inputFiles()
+    if files:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

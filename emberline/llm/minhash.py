@@ -1,14 +1,15 @@
 """MinHash near-deduplication by an inverted join of signature coordinates.
 
-Documents with one shingle set are one class. Each class is posted under its
-coordinate-value pairs. Two sets of the similarity asked for agree in at least MATCHES of
-COORDINATES places, so it is enough to join their prefixes: the COORDINATES - MATCHES + 1
-rarest postings of each. The other postings, the longest lists, are skipped; collisions in
-them are counted from the signatures of the pairs found. Pairs above the threshold are
-confirmed on the full sets.
-
-No list is expanded into all its pairs: first its members are linked to its least member,
-and only members still in different components are then held against each other.
+Documents with one shingle set are one class. A coordinate of a signature is made of DEPTH
+least hashes, so that few sets which differ much agree in it. Each class is posted under
+its coordinate-value pairs. Two sets of the similarity asked for agree in at least MATCHES
+of COORDINATES places, so it is enough to merge their prefixes: the COORDINATES - MATCHES
++ 1 rarest postings of each. The other postings, the longest lists, are skipped;
+collisions in them are counted from the signatures of the pairs found. Pairs above the
+threshold are confirmed on the full sets.
+
+No list is expanded into all its pairs: first its members are linked to its most central
+member, and only members still in different components are then held against each other.
 """
 
 from __future__ import annotations
@@ -22,22 +23,22 @@ from pyspark.sql import functions as F
 
 from emberline.llm import textbytes as tb
 from emberline.llm.components import components
-from emberline.llm.lineage import cut, written
+from emberline.llm.lineage import cut, discard, written
 
-#: Sets of Jaccard 0.8 agree in a coordinate with probability 0.8, and in fewer than
-#: MATCHES of COORDINATES once in 40 million pairs.
-COORDINATES, MATCHES = 64, 32
+#: Sets of Jaccard 0.8 agree in a coordinate with probability 0.8 ** DEPTH, and in fewer
+#: than MATCHES of COORDINATES once in 350 million pairs.
+COORDINATES, DEPTH, MATCHES = 48, 3, 6
 PERCENT, WORDS = 80, 5
 #: Members of a list's largest component against which the rest of the list is held, and how often, before all are.
-HUBS, TURNS = 12, 2
+HUBS, TURNS = 12, 1
 #: So many documents to be confirmed at most are looked up by a broadcast of their ids; more, by a shuffle.
 BROADCAST_IDS = 500_000
-#: Buckets of shingle hashes; how many sets a bucket's shingles are in gives shingles their order, rare ones first.
-ORDER_BITS = 18
+#: The partners of one set are dealt out over so many chunks, to each of which the set goes once.
+CHUNKS = 256
 
 U = tb.U
-FACTORS = (tb.mix(np.arange(1, COORDINATES + 1, dtype=U)) >> U(32)).astype(np.uint32) | np.uint32(1)
-SHIFTS = (tb.mix(np.arange(1001, COORDINATES + 1001, dtype=U)) >> U(32)).astype(np.uint32)
+FACTORS = (tb.mix(np.arange(1, COORDINATES * DEPTH + 1, dtype=U)) >> U(32)).astype(np.uint32) | np.uint32(1)
+SHIFTS = (tb.mix(np.arange(1001, COORDINATES * DEPTH + 1001, dtype=U)) >> U(32)).astype(np.uint32)
 LOW = U((1 << 52) - 1)
 
 
@@ -71,7 +72,7 @@ def set_keys(row: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray,
 
 
 def signatures(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
-    """The least of COORDINATES hashes of each row's items; 0 where a row has none."""
+    """COORDINATES hashes of each row's items, each made of DEPTH least ones; 0 where a row has none."""
     edge = np.searchsorted(row, np.arange(rows + 1))
     full = np.flatnonzero(np.diff(edge))
     out = np.zeros((rows, COORDINATES), np.uint32)
@@ -79,7 +80,10 @@ def signatures(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
         x = (tb.mix(value) >> U(32)).astype(np.uint32)
         start = edge[full]
         for c in range(COORDINATES):
-            out[full, c] = np.minimum.reduceat((x ^ SHIFTS[c]) * FACTORS[c], start)
+            fold = np.zeros(len(full), U)
+            for k in range(c * DEPTH, c * DEPTH + DEPTH):
+                fold = fold * U(tb.ROOT) + np.minimum.reduceat((x ^ SHIFTS[k]) * FACTORS[k], start)
+            out[full, c] = tb.mix(fold) >> U(32)
     return out.view(np.int32)
 
 
@@ -113,66 +117,42 @@ def _sets(n: int):
     return run
 
 
-def _buckets(value: np.ndarray) -> np.ndarray:
-    return (value >> U(52 - ORDER_BITS)).astype(np.int64)
-
-
-def _counted(n: int):
-    """How many items of the rows' sets each bucket has."""
+def _alike(percent: int):
+    """Those of the rows (a, b, ia, ib) whose sorted sets are similar; rows of one a that follow one another are looked up together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
-            for _, _, text, offs in tb.slices(batch.column("_text")):
-                total += np.bincount(_buckets(shingles(text, offs, n)[1]), minlength=1 << ORDER_BITS)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], names=["bucket", "n"])
+            a = np.asarray(batch.column("a"))
+            left, right = batch.column("ia"), batch.column("ib")
+            lo, hi = np.asarray(left.offsets), np.asarray(right.offsets)
+            ia, ib = np.asarray(left.values), np.asarray(right.values)
+            common = np.zeros(len(a), np.int64)
+            edge = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1], [True])))
+            for i, j in zip(edge[:-1], edge[1:]):
+                one, many = ia[lo[i] : lo[i + 1]], ib[hi[i] : hi[j]]
+                at = np.searchsorted(one, many)
+                met = np.concatenate(([0], np.cumsum(one[np.minimum(at, len(one) - 1)] == many)))
+                common[i:j] = np.diff(met[hi[i : j + 1] - hi[i]])
+            size = np.diff(lo) + np.diff(hi)
+            near = pa.array(100 * common >= percent * (size - common))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(near)
 
     return run
 
 
-def _rarest(n: int, share: float, often: np.ndarray):
-    """Of each set, in the order of its buckets' numbers, the items among which it has one
-    of any set that has ``share`` of them, with their places in that order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k1, k2 = (np.asarray(batch.column(c)) for c in ("k1", "k2"))
-            for i, j, text, offs in tb.slices(batch.column("_text")):
-                row, value = shingles(text, offs, n)
-                size, a, b = set_keys(row, value, j - i)
-                by = np.lexsort((value, often[_buckets(value)], row))
-                value = value[by]
-                place = np.arange(len(row)) - np.searchsorted(row, np.arange(j - i))[row]
-                first = size - np.ceil(size * share - 1e-6) + 1
-                right = (a == k1[i:j]) & (b == k2[i:j])
-                take = right[row] & (place < first[row])
-                at = pa.array(row[take])
-                along = [batch.column(c)[i:j].take(at) for c in ("node", "size", "component")]
-                yield pa.RecordBatch.from_arrays([*along, pa.array(value[take].view(np.int64)), pa.array(place[take].astype(np.int32))], names=["node", "size", "component", "key", "place"])
-
-    return run
-
-
-def _prefixes(posts: DataFrame, total, length, *names: str) -> DataFrame:
-    """Of each node's ``total`` postings (node, key) the ``length`` rarest, without those of one node alone.
+def _prefixes(posts: DataFrame) -> DataFrame:
+    """Of each node's COORDINATES postings (node, size, key) the rarest ones that any near set shares one of, without those of one node alone.
 
     ``centre`` tells how much a node has in common with others: most for the one that near
     copies were made from.
     """
     shared = posts.groupBy("key").count().where("count > 1")
-    lists = posts.join(shared, "key").groupBy("node", *names).agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("p"))
+    lists = posts.join(shared, "key").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("p"))
     # postings of one node alone come first in the order and take their places in the prefix
-    room = (length - (total - F.size("p"))).cast("int")
+    room = F.size("p") - (MATCHES - 1)
     centre = F.aggregate("p", F.lit(0).cast("long"), lambda n, x: n + x["count"])
-    first = total - F.size("p")
-    lists = lists.where(room > 0).select("node", *names, centre.alias("centre"), first.alias("first"), F.posexplode(F.slice("p", F.lit(1), room)).alias("at", "p"))
-    return lists.select("node", *names, "centre", F.col("p.key").alias("key"), (F.col("first") + F.col("at")).alias("place"))
-
-
-def _places(share: float):
-    """Of a set's ``size`` items in order, the first of which it shares one with any set that has that share of them."""
-    return (F.col("size") - F.ceil(F.col("size") * share - 1e-6) + 1).cast("int")
+    lists = lists.where(room > 0).select("node", "size", centre.alias("centre"), F.explode(F.slice("p", F.lit(1), room)).alias("p"))
+    return lists.select("node", "size", "centre", F.col("p.key").alias("key"))
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -195,89 +175,78 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if percent < 80:
         raise ValueError("the signature's match threshold holds for 80 percent and more")
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text"))
-    rows = cut(plain.mapInArrow(_sketch(words), "id long, size long, k1 long, k2 long, sig array<int>").withColumn("row", F.monotonically_increasing_id()))
+    rows = written(plain.mapInArrow(_sketch(words), "id long, size long, k1 long, k2 long, sig array<int>").withColumn("row", F.monotonically_increasing_id()))
     classes = rows.where("size > 0").groupBy("size", "k1", "k2").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.first("sig").alias("sig"))
-    classes = cut(classes)
+    classes = written(classes)
 
     posts = classes.select("node", "size", F.posexplode("sig").alias("at", "value"))
     posts = posts.select("node", "size", (F.col("value").cast("long") * COORDINATES + F.col("at")).alias("key"))
-    prefix = _prefixes(posts, F.lit(COORDINATES), F.lit(COORDINATES - MATCHES + 1), "size")
-    prefix = written(prefix.drop("place"))
+    lists = written(_prefixes(posts))
 
     def close(a: str, b: str):
         return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
 
-    def texts_of(nodes: DataFrame) -> DataFrame:
-        """The text of one document of each class, with the set's keys; a document that repeats gives it again, which does no harm."""
-        wanted = cut(_few(nodes).join(classes.select("node", "least", "k1", "k2"), "node"))
-        wanted = _few(wanted)
-        return plain.join(wanted, plain["id"].eqNullSafe(wanted["least"])).select(*nodes.columns, "k1", "k2", "_text")
-
     def sets_of(nodes: DataFrame) -> DataFrame:
-        """Full shingle sets of the classes."""
-        return written(texts_of(nodes).mapInArrow(_sets(words), "node long, items array<long>"))
+        """Full shingle sets of the classes, from one document of each; a document that repeats gives its set again, which does no harm."""
+        wanted = _few(cut(_few(nodes).join(classes.select("node", "least", "k1", "k2"), "node")))
+        texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["least"])).select("node", "k1", "k2", "_text")
+        return written(texts.mapInArrow(_sets(words), "node long, items array<long>"))
 
     def colliding(pairs: DataFrame) -> DataFrame:
         """Those of the pairs that agree in enough coordinates."""
-        sig = cut(classes.select("node", "sig").join(_few(cut(_nodes(pairs))), "node"))
+        sig = written(classes.select("node", "sig").join(_few(cut(_nodes(pairs))), "node"))
         pairs = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
         hits = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-        return cut(pairs.where(hits >= MATCHES).select("a", "b"))
-
-    def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
-        common = F.size(F.array_intersect("ia", "ib"))
-        return both.where(100 * common >= percent * (F.size("ia") + F.size("ib") - common)).select("a", "b").distinct()
+        found = cut(pairs.where(hits >= MATCHES).select("a", "b"))
+        discard(sig)
+        return found
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = colliding(pairs)
-        return similar(pairs, sets_of(cut(_nodes(pairs))))
-
-    hubs = prefix.groupBy("key").agg(F.max(F.struct("centre", "node", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"))
-    stars = prefix.join(cut(hubs), "key").where("node <> a").where(close("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
-    links = cut(confirmed(cut(stars)))
-
-    def apart() -> DataFrame:
+        """Those of the different pairs whose sets are similar; the set of a goes once to each chunk of its partners."""
+        pairs = colliding(pairs).withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(CHUNKS)))
+        sets = sets_of(cut(_nodes(pairs)))
+        left = pairs.select("a", "chunk").distinct().join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
+        both = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b").join(left, ["a", "chunk"])
+        found = cut(both.select("a", "b", "ia", "ib").mapInArrow(_alike(percent), "a long, b long").distinct())
+        discard(sets)
+        return found
+
+    def apart(lists: DataFrame, found: DataFrame) -> DataFrame:
         """Members of lists that the links so far don't join, with their components."""
-        found = cut(components(links))
-        placed = prefix.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = lists.select("key", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        return cut(placed.join(mixed, "key").select("key", "node", "size", "component"))
+        return written(placed.join(mixed, "key").select("key", "node", "size", "component"))
 
     def between(some: DataFrame, others: DataFrame) -> DataFrame:
         left = some.select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
-        pairs = left.join(others, "key").where("ca <> component").where(close("size", "size_a"))
-        return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-
-    # most of those that are near a large component are near some of its members, taken by chance
-    for turn in range(TURNS):
-        rest = apart()
-        shares = rest.groupBy("key", "component").agg(F.count("*").alias("n"))
-        main = cut(shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).where("main.n > 1").select("key", F.col("main.component").alias("main")))
-        rest = cut(rest.join(main, "key"))
-        by_chance = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "size")
-        hubs = rest.where("component = main").groupBy("key").agg(F.min(by_chance).alias("h0"), *[F.min(F.when(F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(HUBS)) == k, by_chance)).alias(f"h{k}") for k in range(1, HUBS)])
-        hubs = hubs.select("key", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("h")).where("h is not null").select("key", "h.node", "h.size").distinct()
-        hubs = cut(hubs.join(main.withColumnRenamed("main", "component"), "key"))
-        links = cut(links.unionByName(confirmed(cut(between(hubs, rest.where("component <> main").drop("main"))))))
-    # For what is still apart, prefixes of the full sets: of two similar sets the larger has
-    # one of the items that are rarest in the smaller among its own rarest, and enough come
-    # after it in both.
-    texts = texts_of(cut(apart().select("node", "size", "component").distinct()))
-    often = np.ones(1 << ORDER_BITS, np.int32)
-    for r in texts.select("_text").mapInArrow(_counted(words), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # one row for each bucket at most
-        often[r.bucket] = min(r.n, (1 << 31) - 1)
-    rare = written(texts.mapInArrow(_rarest(words, percent / 100, often), "node long, size long, component long, key long, place int"))
-    small = rare.where(F.col("place") < _places(2 * percent / (100 + percent))).select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("place").alias("place_a"))
-    pairs = small.join(rare, "key").where("ca <> component and (size_a < size or (size_a = size and a < node))").where(close("size", "size_a"))
-    needed = (F.col("size_a") + F.col("size")) * percent / (100 + percent)
-    pairs = pairs.where(F.least(F.col("size_a") - F.col("place_a"), F.col("size") - F.col("place")) + 1e-6 >= needed)
-    pairs = cut(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    links = links.unionByName(confirmed(pairs))
-    found = components(links)
+        pairs = left.join(others, "key").where("ca < component" if some is others else "ca <> component").where(close("size", "size_a"))
+        return cut(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+
+    hubs = lists.groupBy("key").agg(F.max(F.struct("centre", "node", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"))
+    stars = lists.join(cut(hubs), "key").where("node <> a").where(close("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
+    found = cut(components(confirmed(cut(stars))))
+    # most of those that are near a large component are near some of its members, taken by chance; then all are held against all
+    for turn in range(TURNS + 1):
+        last, lists = lists, apart(lists, found)
+        discard(last)
+        if lists.isEmpty():
+            break
+        if turn < TURNS:
+            shares = lists.groupBy("key", "component").agg(F.count("*").alias("n"))
+            main = cut(shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).where("main.n > 1").select("key", F.col("main.component").alias("main")))
+            rest = lists.join(main, "key")
+            by_chance = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "size")
+            hubs = rest.where("component = main").groupBy("key", "component").agg(F.min(by_chance).alias("h0"), *[F.min(F.when(F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(HUBS)) == k, by_chance)).alias(f"h{k}") for k in range(1, HUBS)])
+            hubs = hubs.select("key", "component", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("h")).where("h is not null").select("key", "component", "h.node", "h.size").distinct()
+            pairs = between(hubs, rest.where("component <> main").drop("main"))
+        else:
+            pairs = between(lists, lists)
+        found = cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirmed(pairs))))
+    discard(lists)
 
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = cut(placed.select("size", "k1", "k2", "component", "least"))
+    discard(classes)
     best = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     verdict = cut(placed.join(best, "component").select("size", "k1", "k2", "component_id"))
     out = rows.where("size > 0").join(verdict, ["size", "k1", "k2"]).select("id", "size", "component_id")
