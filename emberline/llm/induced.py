@@ -7,7 +7,8 @@ first letter induces all L suffixes in ascending order, and from those another i
 all S suffixes in descending order. Each queue entry carries its position and the length
 of the prefix that it shares with the entry before it. Entries wait in buckets, which go
 to unnamed scratch files of the task when they outgrow the memory allowed, as spilled
-sort runs do; the files vanish with the task.
+sort runs do; the files vanish with the task. So do large arrays of one entry a letter.
+Suffixes are handed on letter by letter and never gathered.
 """
 
 from __future__ import annotations
@@ -73,6 +74,15 @@ class Queue:
             self.file.close()
 
 
+def roomy(n: int, dtype: type, memory: int) -> np.ndarray:
+    """Zeros, in a scratch file of the task where they take more than ``memory`` bytes."""
+    if n * np.dtype(dtype).itemsize <= memory:
+        return np.zeros(n, dtype)
+    with tempfile.TemporaryFile() as file:
+        file.truncate(n * np.dtype(dtype).itemsize)
+        return np.memmap(file, dtype, "r+")
+
+
 class Minima:
     """Least values of ranges of an array."""
 
@@ -102,15 +112,28 @@ class Minima:
         return np.minimum(table[base + first], table[base + last + 1 - (1 << level.astype(np.int64))])
 
 
-def small_types(text: np.ndarray) -> np.ndarray:
+#: Letters that are looked at together.
+BLOCK = 1 << 20
+
+
+def small_types(text: np.ndarray, memory: int) -> np.ndarray:
     """True where the suffix is smaller than the one that starts a letter later; the empty suffix is the smallest."""
     n = len(text)
-    rise = np.zeros(n, np.int8)
-    rise[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1].astype(np.int64))
-    rise[-1] = -1
-    nearest = np.where(rise != 0, np.arange(n), n)
-    nearest = np.minimum.accumulate(nearest[::-1])[::-1]
-    return rise[nearest] > 0
+    out = roomy(n, bool, memory)
+    known = False  # of the place behind the block; the last letter is greater than the end
+    for lo in range((n - 1) // BLOCK * BLOCK, -1, -BLOCK):
+        hi = min(n, lo + BLOCK)
+        rise = np.zeros(hi - lo + 1, np.int8)
+        follow = text[lo + 1 : hi + 1].astype(np.int64)
+        rise[: len(follow)] = np.sign(follow - text[lo : lo + len(follow)])
+        if hi == n:
+            rise[hi - lo - 1] = -1
+        rise[-1] = 1 if known else -1
+        nearest = np.where(rise != 0, np.arange(len(rise)), len(rise))
+        nearest = np.minimum.accumulate(nearest[::-1])[::-1]
+        out[lo:hi] = rise[nearest[:-1]] > 0
+        known = bool(out[lo])
+    return out
 
 
 def doubled(names: np.ndarray, depth: int) -> np.ndarray:
@@ -172,15 +195,18 @@ def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 FIELD, FIELDS = 9, 7
 
 
-def packed(text: np.ndarray, depth: int) -> np.ndarray | None:
+def packed(text: np.ndarray, depth: int, memory: int) -> np.ndarray | None:
     """At each place the next FIELDS letters as one number, for texts of up to 2**FIELD - 1 letters."""
     if int(text.max()) + 1 >= 1 << FIELD:
         return None
     n = len(text)
-    out = np.zeros(n + depth + FIELDS, np.int64)
-    letters = text.astype(np.int64) + 1  # 0 is beyond the end
-    for k in range(min(FIELDS, n)):
-        out[: n - k] |= letters[k:] << FIELD * (FIELDS - 1 - k)
+    out = roomy(n + depth + FIELDS, np.int64, memory)
+    for lo in range(0, n, BLOCK):
+        hi = min(n, lo + BLOCK)
+        letters = text[lo : hi + FIELDS].astype(np.int64) + 1  # 0 is beyond the end
+        for k in range(min(FIELDS, len(letters))):
+            some = letters[k : k + hi - lo]
+            out[lo : lo + len(some)] |= some << FIELD * (FIELDS - 1 - k)
     return out
 
 
@@ -221,7 +247,11 @@ def starred_order(text: np.ndarray, small: np.ndarray, depth: int, memory: int,
         return star[np.argsort(names, kind="stable")]
     if len(names) <= in_memory:
         return star[np.argsort(doubled(names, depth // 2 + 2))]  # a name takes two letters at least
-    return star[np.concatenate([at for at, _ in suffixes(names, depth, memory, in_memory)])]
+    order, end = roomy(len(star), np.int64, memory), len(star)
+    for at, _ in suffixes(names, depth, memory, in_memory):
+        order[end - len(at) : end] = star[at]
+        end -= len(at)
+    return order
 
 
 def suffixes(text: np.ndarray, depth: int, memory: int = MEMORY, in_memory: int = IN_MEMORY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -229,18 +259,12 @@ def suffixes(text: np.ndarray, depth: int, memory: int = MEMORY, in_memory: int
     each shares with the one before it (0 for the first), both in ascending order of suffix.
 
     The order holds for the first ``depth`` letters and prefixes are counted up to it.
-    Letters come out largest first; reading them in reverse gives the whole order.
     """
-    parts = list(_induced(text, depth, memory, in_memory))
-    return reversed(parts)
-
-
-def _induced(text: np.ndarray, depth: int, memory: int, in_memory: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     n = len(text)
     if not n:
         return
-    small = small_types(text)
-    words = packed(text, depth)
+    small = small_types(text, memory)
+    words = packed(text, depth, memory)
     star = starred_order(text, small, depth, memory, in_memory)
     shared = np.zeros(len(star), np.uint16)
     if len(star) > 1:

@@ -8,8 +8,11 @@ of COORDINATES places, so it is enough to merge their prefixes: the COORDINATES
 collisions in them are counted from the signatures of the pairs found. Pairs above the
 threshold are confirmed on the full sets.
 
-No list is expanded into all its pairs: first its members are linked to its most central
-member, and only members still in different components are then held against each other.
+No list is expanded into all its pairs: its members are linked to its most central member.
+For members of a list that stay in different components, the lists of their signatures
+give way to those of their items, rarest first by exact counts: of two similar sets each
+has one of the items that are rarest in the other among its own rarest. A set with enough
+items of its own has nothing to be held against.
 """
 
 from __future__ import annotations
@@ -29,8 +32,6 @@ from emberline.llm.lineage import cut, discard, written
 #: than MATCHES of COORDINATES once in 350 million pairs.
 COORDINATES, DEPTH, MATCHES = 48, 3, 6
 PERCENT, WORDS = 80, 5
-#: Members of a list's largest component against which the rest of the list is held, and how often, before all are.
-HUBS, TURNS = 12, 1
 #: So many documents to be confirmed at most are looked up by a broadcast of their ids; more, by a shuffle.
 BROADCAST_IDS = 500_000
 #: The partners of one set are dealt out over so many chunks, to each of which the set goes once.
@@ -155,6 +156,38 @@ def _prefixes(posts: DataFrame) -> DataFrame:
     return lists.select("node", "size", "centre", F.col("p.key").alias("key"))
 
 
+def _rarest_met(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets (node, size, component, items) of different components that may be similar.
+
+    In the order of how many sets have an item, two similar sets have their first common
+    item at a place that leaves room for all the others they must have in common.
+    """
+
+    def places(share: float):
+        """Of a set's items in order, the first of which it shares one with any set that has that share of them."""
+        return F.col("size") - F.ceil(F.col("size") * share - 1e-6) + 1
+
+    items = sets.select("node", "size", "component", F.explode("items").alias("key"))
+    counts = items.groupBy("key").count().where("count > 1")
+    held = items.join(counts, "key").groupBy("node", "size", "component").agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("p"))
+    # items of one set alone come first in the order and take their places
+    alone = F.col("size") - F.size("p")
+    room = (places(percent / 100) - alone).cast("int")
+    held = held.where(room > 0).select("node", "size", "component", alone.alias("alone"), F.posexplode(F.slice("p", F.lit(1), room)).alias("at", "p"))
+    held = held.select("node", "size", "component", F.col("p.key").alias("key"), (F.col("alone") + F.col("at")).alias("place"))
+    held = cut(held.withColumn("early", F.col("place") < places(2 * percent / (100 + percent))))
+    # of a list, all but its largest component are held against the others
+    shares = held.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("key", F.col("main.component").alias("main"))
+    held = cut(held.join(main, "key"))
+    rest = held.where("component <> main").select("key", *[F.col(c).alias(f"{c}_") for c in ("node", "size", "component", "place", "early")])
+    needed = (F.col("size") + F.col("size_")) * percent / (100 + percent)
+    first = F.expr("size_ < size or (size_ = size and node_ < node)")
+    pairs = rest.join(held, "key").where("component <> component_").where(F.when(first, F.col("early_")).otherwise(F.col("early")))
+    pairs = pairs.where((F.least("size", "size_") * 100 >= F.greatest("size", "size_") * percent) & (F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_")) + 1e-6 >= needed))
+    return pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
+
+
 def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
@@ -201,48 +234,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         discard(sig)
         return found
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the different pairs whose sets are similar; the set of a goes once to each chunk of its partners."""
-        pairs = colliding(pairs).withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(CHUNKS)))
-        sets = sets_of(cut(_nodes(pairs)))
+        pairs = pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(CHUNKS)))
         left = pairs.select("a", "chunk").distinct().join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
         both = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b").join(left, ["a", "chunk"])
-        found = cut(both.select("a", "b", "ia", "ib").mapInArrow(_alike(percent), "a long, b long").distinct())
-        discard(sets)
-        return found
-
-    def apart(lists: DataFrame, found: DataFrame) -> DataFrame:
-        """Members of lists that the links so far don't join, with their components."""
-        placed = lists.select("key", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        return written(placed.join(mixed, "key").select("key", "node", "size", "component"))
-
-    def between(some: DataFrame, others: DataFrame) -> DataFrame:
-        left = some.select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
-        pairs = left.join(others, "key").where("ca < component" if some is others else "ca <> component").where(close("size", "size_a"))
-        return cut(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+        return cut(both.select("a", "b", "ia", "ib").mapInArrow(_alike(percent), "a long, b long").distinct())
 
     hubs = lists.groupBy("key").agg(F.max(F.struct("centre", "node", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"))
-    stars = lists.join(cut(hubs), "key").where("node <> a").where(close("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
-    found = cut(components(confirmed(cut(stars))))
-    # most of those that are near a large component are near some of its members, taken by chance; then all are held against all
-    for turn in range(TURNS + 1):
-        last, lists = lists, apart(lists, found)
-        discard(last)
-        if lists.isEmpty():
-            break
-        if turn < TURNS:
-            shares = lists.groupBy("key", "component").agg(F.count("*").alias("n"))
-            main = cut(shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).where("main.n > 1").select("key", F.col("main.component").alias("main")))
-            rest = lists.join(main, "key")
-            by_chance = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "size")
-            hubs = rest.where("component = main").groupBy("key", "component").agg(F.min(by_chance).alias("h0"), *[F.min(F.when(F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(HUBS)) == k, by_chance)).alias(f"h{k}") for k in range(1, HUBS)])
-            hubs = hubs.select("key", "component", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("h")).where("h is not null").select("key", "component", "h.node", "h.size").distinct()
-            pairs = between(hubs, rest.where("component <> main").drop("main"))
-        else:
-            pairs = between(lists, lists)
-        found = cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirmed(pairs))))
+    stars = lists.join(hubs, "key").where("node <> a").where(close("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
+    stars = colliding(cut(stars))
+    sets = sets_of(cut(_nodes(stars)))
+    found = cut(components(similar(stars, sets)))
+    discard(sets)
+
+    # members of lists that the links so far don't join
+    placed = lists.select("key", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    apart = cut(placed.join(mixed, "key").select("node", "size", "component").distinct())
     discard(lists)
+    sets = sets_of(apart.select("node"))
+    pairs = cut(_rarest_met(apart.join(sets, "node"), percent))
+    links = similar(pairs, sets)
+    discard(sets)
+    found = cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)))
 
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = cut(placed.select("size", "k1", "k2", "component", "least"))
