@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +28,11 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 WINDOW = 8
 
-SCHEMA = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, body long, line_hash array<long>, line_words array<int>, text_key long"
+SCHEMA = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, body long, line_hash array<long>, line_words array<int>, line_at array<int>, text_key long"
 SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 FOLLOWS = (np.arange(256) & 0xC0) == 0x80  # UTF-8 continuation bytes
 
 
-WHITE = " \t\n\v\f\r"
-
-
 def key_of(text_col: str, host_col: str) -> Column:
     """Tells rows of one id apart: a hash of text and host."""
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(host_col).cast("string"), F.lit("\0")))
@@ -65,9 +61,10 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             points = np.concatenate(([0], np.cumsum(~FOLLOWS[text], dtype=np.int64)))
             symbols = np.concatenate(([0], np.cumsum(SYMBOL[text], dtype=np.int64)))
             row, start, end = tb.lines(text, offs)
+            place = np.arange(len(row)) - np.searchsorted(row, np.arange(rows))[row]
             first, after = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
             full = after > first
-            row, start, end, first, after = row[full], start[full], end[full], first[full], after[full]
+            row, start, end, place, first, after = row[full], start[full], end[full], place[full], first[full], after[full]
             raw = tb.keys(text, start, end)
             seen = np.unique(tb.mix(raw + row.astype(tb.U) * tb.U(0x2545F4914F6CDD1D)), return_index=True)[1]
             again = np.ones(len(row), bool)
@@ -92,9 +89,10 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(body.view(np.int64)),
                     pa.ListArray.from_arrays(edges, pa.array(norm.view(np.int64))),
                     pa.ListArray.from_arrays(edges, pa.array((after - first).astype(np.int32))),
+                    pa.ListArray.from_arrays(edges, pa.array(place.astype(np.int32))),
                     *[batch.column(n)[i:j] for n in along],
                 ],
-                names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "body", "line_hash", "line_words", *along],
+                names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "body", "line_hash", "line_words", "line_at", *along],
             )
 
 
@@ -108,8 +106,8 @@ def quality_rules(
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """One row per input row: base counts, ``base_failed``, ``kept``, ``n_lines_removed``,
-    ``n_words_left``, ``drop_lines`` (0-based indexes, among lines with a word, of
-    those to remove) and ``text_key`` (``key_of`` the text and its host).
+    ``n_words_left``, ``drop_lines`` (places, from 0, of those \\n-split lines that are
+    to go) and ``text_key`` (``key_of`` the text and its host).
 
     A line counts once for each different document body of a host, so exact copies
     don't make boilerplate of one another; nor do copies and empty documents count in
@@ -128,12 +126,12 @@ def quality_rules(
     found = held.select("host", "row", "line").join(often, ["host", "line"]).where("row <> keeper")
     found = found.groupBy("row").agg(F.collect_set("line").alias("often"))
     rows = rows.join(found, "row", "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))
-    lines = F.arrays_zip("line_hash", "line_words")
+    lines = F.arrays_zip("line_hash", "line_words", "line_at")
     gone = F.filter(lines, lambda x: F.array_contains(F.col("often"), x["line_hash"]))
     lost = F.aggregate(gone, F.lit(0).cast("long"), lambda a, x: a + x["line_words"])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumn("n_words_left", F.col("n_words") - F.when(F.size("often") > 0, lost).otherwise(F.lit(0).cast("long")))
-    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size("line_hash") - 1, F.lit(0))), lambda i: F.array_contains(F.col("often"), F.get("line_hash", i)))
+    at = F.transform(gone, lambda x: x["line_at"])
     rows = rows.withColumn("drop_lines", F.when(F.size("often") > 0, at).otherwise(F.array().cast("array<int>")))
     return rows.select(
         F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
@@ -142,22 +140,9 @@ def quality_rules(
 
 
 def without_lines(text: Column, drop: Column) -> Column:
-    """The text without the lines (those with a word counted from 0) that ``drop`` lists."""
-
-    def run(texts: pd.Series, drops: pd.Series) -> pd.Series:
-        out = []
-        for t, d in zip(texts, drops):
-            if t and d is not None and len(d):
-                gone, lines, n = set(d), [], -1
-                for line in t.split("\n"):
-                    n += (word := bool(line.strip(WHITE)))
-                    if not (word and n in gone):
-                        lines.append(line)
-                t = "\n".join(lines)
-            out.append(t)
-        return pd.Series(out, dtype=object)
-
-    return F.when(F.size(drop) > 0, F.pandas_udf(run, "string")(text, drop)).otherwise(text)
+    """The text without the \\n-split lines whose places ``drop`` lists."""
+    left = F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains(drop, at))
+    return F.when(F.size(drop) > 0, F.array_join(left, "\n")).otherwise(text)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:

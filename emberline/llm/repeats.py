@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline.llm import textbytes as tb
 from emberline.llm.induced import IN_MEMORY, MEMORY, suffixes
@@ -180,6 +181,10 @@ def _split(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where("_taken").drop("_bucket", "_taken"), rows.where("_taken is null").drop("_bucket", "_taken")
 
 
+def _with_id(kind: T.DataType, others: str) -> T.StructType:
+    return T.StructType([T.StructField("id", kind), *T.StructType.fromDDL(others).fields])
+
+
 def _met(rows: DataFrame, keys: DataFrame, n: str) -> DataFrame:
     """The rows with one of the keys; ``n`` tells how many rows a key has, so that frequent ones don't meet in one task."""
     keys = cut(keys)
@@ -197,9 +202,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     deep = length if deep is None else deep
     rows = _keyed(docs, id_col, text_col)
-    id_type = docs.schema[id_col].dataType.simpleString()
     names = ("key", "whole", "start", "windows", "size")
-    found = rows.mapInArrow(_anchors(length, deep), f"id {id_type}, h1 long, h2 long, key array<long>, whole array<long>, start array<int>, windows array<int>, size array<int>")
+    found = rows.mapInArrow(_anchors(length, deep), _with_id(docs.schema[id_col].dataType, "h1 long, h2 long, key array<long>, whole array<long>, start array<int>, windows array<int>, size array<int>"))
     # texts that are copies of one another are one from here on, with their number
     texts = found.where(F.size("key") > 0).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in names])
     texts = cut(texts)
@@ -296,9 +300,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     some, others = _split(_keyed(docs, id_col, text_col), runs)
     some = some.join(runs, ["h1", "h2"], "left").select("id", "_text", "runs")
     rows = some.unionByName(others.select("id", "_text", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")))
-    id_type = docs.schema[id_col].dataType.simpleString()
     more = ", passage_start array<int>, passage_end array<int>" if passages else ""
-    out = rows.mapInArrow(_removed(length, characters, min_words, passages), f"id {id_type}, n_bytes long, start array<int>, end array<int>, kept binary{more}")
+    out = rows.mapInArrow(_removed(length, characters, min_words, passages), _with_id(docs.schema[id_col].dataType, f"n_bytes long, start array<int>, end array<int>, kept binary{more}"))
     return out.withColumnRenamed("id", id_col)
 
 

@@ -53,7 +53,7 @@ def exact_brute(rows):
     return list(best.values())
 
 
-def repeats_brute(rows, length=400):
+def repeats_brute(rows, length=200, least=50):
     places = defaultdict(int)
     for _, t, _ in rows:
         b = t.encode()
@@ -62,10 +62,14 @@ def repeats_brute(rows, length=400):
     out = []
     for i, t, host in rows:
         b = t.encode()
-        gone = np.zeros(len(b), bool)
+        gone = np.zeros(len(b) + 1, np.int8)
         for k in range(len(b) - length + 1):
             if places[b[k : k + length]] > 1:
-                gone[k : k + length] = True
+                gone[k : k + length] = 1
+        step = np.diff(gone, prepend=0)
+        for x, y in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1)):
+            if len(b[x:y].split()) < least:
+                gone[x:y] = 0
         # a character goes only with all its bytes
         edge = [k for k, x in enumerate(b) if x & 0xC0 != 0x80] + [len(b)]
         out.append((i, b"".join(b[x:y] for x, y in zip(edge, edge[1:]) if not gone[x:y].all()).decode(), host))
@@ -140,3 +144,16 @@ def test_awkward_rows(spark):
     for _, stage in cp.STAGES[:-1]:
         docs = stage(spark, docs, None)
     assert docs.count() == 0 and cp.STAGES[-1][1](spark, docs, None).count() == 0
+
+
+@pytest.mark.parametrize("names", [["row", "id", "key", "drop", "n", "digest"], ["left", "row_key", "row_digest", "_text", "_id", "_drop"], ["_n", "_row", "_k", "_key", "a b.c", "component"]])
+def test_clashing_names(spark, names):
+    text = lambda i: " ".join(f"{i}w{k}" for k in range(40))
+    pairs = [(i, text(i % 7)) for i in range(12)] + [(20, text(3) + " more")]
+    docs = spark.createDataFrame([(i, t, "s", *[f"{n}{i}" for n in names]) for i, t in pairs], ["doc_id", "text", "source", *names])
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, None)
+        assert docs.columns == ["doc_id", "text", "source", *names]
+    rows = docs.collect()
+    assert len(rows) == 7 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+    assert cp.STAGES[-1][1](spark, docs, None).count() == 7
