@@ -10,12 +10,11 @@ anew, and their changed sums are carried up, level by level.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm import bpe
@@ -24,7 +23,7 @@ from emberline.llm import textbytes as tb
 #: Bytes of text whose pre-tokens are looked up together.
 LIMIT = 1 << 20
 EDITS = "array<struct<start:long,stop:long,insert:string>>"
-#: Personal data that ``redactions`` takes out: runs of 8 digits or more, and mail addresses.
+#: Personal data that ``redaction_edits`` takes out: runs of 8 digits or more, and mail addresses.
 DIGITS = re.compile(r"[0-9](?:[ .-]?[0-9]){7,}")
 MAIL = re.compile(r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 
@@ -114,6 +113,40 @@ class CountTree:
         return base[0, full], base[1, full], "".join(map(self._text, full.tolist()))
 
 
+def leaves_of(encoder: bpe.Encoder, column: pa.Array, text: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice of texts, with its bytes: where each one's leaves begin, their lengths and token numbers."""
+    rows = len(offs) - 1
+    start, _ = tb.spans(text, offs, tb.SPACE[text])
+    row = np.searchsorted(offs, start, side="right") - 1
+    first = np.searchsorted(row, np.arange(rows + 1))
+    points = np.concatenate(([0], np.cumsum((text & 0xC0) != 0x80, dtype=np.int64)))
+    edges = points[start]
+    edges[first[:-1][np.diff(first) > 0]] = points[offs[:-1]][np.diff(first) > 0]  # space at the front is the first leaf's
+    ends = np.append(edges[1:], 0)
+    ends[first[1:][np.diff(first) > 0] - 1] = points[offs[1:]][np.diff(first) > 0]
+    chars = (ends - edges).astype(np.int32)
+    blank = (np.diff(first) == 0) & (np.diff(offs) > 0)  # nothing but space: one leaf without tokens
+    tokens = list(token_numbers(encoder, bpe.utf8(column)))
+    for k in np.flatnonzero(blank):
+        tokens[k] = np.zeros(1, np.int32)
+    chars = np.insert(chars, first[:-1][blank], np.diff(points[offs])[blank].astype(np.int32))
+    at = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32)
+    return at, chars, np.concatenate(tokens)
+
+
+def edited(encoder: bpe.Encoder, text: str, chars: np.ndarray, tokens: np.ndarray, todo: list[tuple[int, int, str]]) -> tuple:
+    """The text and its leaves after the edits, token numbers before and after, edits and code points encoded anew."""
+    before = count = int(tokens.sum())
+    done = 0
+    if todo:
+        tree = CountTree(text, chars, tokens)
+        for e in todo:
+            tree.edit(encoder, *e)
+        chars, tokens, text = tree.leaves()
+        count, done = tree.count(), tree.encoded
+    return text, chars, tokens, before, count, len(todo), done
+
+
 def _trees(path: str):
     schema = pa.schema([("text", pa.string()), ("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
 
@@ -121,22 +154,8 @@ def _trees(path: str):
         encoder = bpe.tree_encoder(path)
         for batch in batches:
             for i, j, text, offs in tb.slices(batch.column(1)):
-                start, _ = tb.spans(text, offs, tb.SPACE[text])
-                row = np.searchsorted(offs, start, side="right") - 1
-                first = np.searchsorted(row, np.arange(j - i + 1))
-                points = np.concatenate(([0], np.cumsum((text & 0xC0) != 0x80, dtype=np.int64)))
-                edges = points[start]
-                edges[first[:-1][np.diff(first) > 0]] = points[offs[:-1]][np.diff(first) > 0]  # space at the front is the first leaf's
-                ends = np.append(edges[1:], 0)
-                ends[first[1:][np.diff(first) > 0] - 1] = points[offs[1:]][np.diff(first) > 0]
-                chars = (ends - edges).astype(np.int32)
-                blank = (np.diff(first) == 0) & (np.diff(offs) > 0)  # nothing but space: one leaf without tokens
-                tokens = list(token_numbers(encoder, bpe.utf8(batch.column(1)[i:j])))
-                for k in np.flatnonzero(blank):
-                    tokens[k] = np.zeros(1, np.int32)
-                chars = np.insert(chars, first[:-1][blank], np.diff(points[offs])[blank].astype(np.int32))
-                at = pa.array(np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (chars, np.concatenate(tokens))]
+                at, *leaves = leaves_of(encoder, batch.column(1)[i:j], text, offs)
+                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in leaves]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j].cast(pa.string()), *lists], names=[batch.schema.names[0], *schema.names])
 
     return run
@@ -189,16 +208,8 @@ def apply_edits(trees: DataFrame, id_col: str = "doc_id", path: str | None = Non
                 out: list[list] = [[] for _ in names]
                 for text, todo, chars, tokens in zip(texts, edits, part.column("chars"), part.column("tokens")):
                     chars, tokens = (np.asarray(x.values if x.values is not None else [], np.int64) for x in (chars, tokens))
-                    todo = [e for e in todo or () if e is not None and e["start"] is not None and e["stop"] is not None]
-                    before = count = int(tokens.sum())
-                    encoded, text = 0, text or ""
-                    if todo:
-                        tree = CountTree(text, chars, tokens)
-                        for e in todo:
-                            tree.edit(encoder, e["start"], e["stop"], e["insert"] or "")
-                        chars, tokens, text = tree.leaves()
-                        count, encoded = tree.count(), tree.encoded
-                    for column, value in zip(out, (text, chars, tokens, before, count, len(todo), encoded)):
+                    todo = [(e["start"], e["stop"], e["insert"] or "") for e in todo or () if e is not None and e["start"] is not None and e["stop"] is not None]
+                    for column, value in zip(out, edited(encoder, text or "", chars, tokens, todo)):
                         column.append(value)
                 types = [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.int64()] * 4]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(out, types))], names=[id_col, *names])
@@ -216,17 +227,34 @@ def redaction_edits(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, reverse=True)
 
 
-def redactions(text: Column) -> Column:
-    """``redaction_edits`` of a column of texts."""
+def edited_counts(docs: DataFrame, edits_of: Callable[[str], list[tuple[int, int, str]]], id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """Like ``apply_edits`` on ``token_trees`` for edits that follow from the text itself, in one pass over slices of it.
+
+    Returns ``id_col, text`` (as edited), ``n_before, n_tokens, n_edits, n_encoded, n_leaves``.
+    """
+    path = path or bpe.default_vocabulary()
+    names = ["text", "n_before", "n_tokens", "n_edits", "n_encoded", "n_leaves"]
 
-    def found(text: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("start", "stop", "insert"), e)) for e in redaction_edits(t or "")] for t in text])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = bpe.tree_encoder(path)
+        for batch in batches:
+            for i, j, data, offs in tb.slices(batch.column(1)):
+                column = batch.column(1)[i:j]
+                at, chars, tokens = leaves_of(encoder, column, data, offs)
+                out: list[list] = [[] for _ in names]
+                for k, text in enumerate(column.to_pylist()):
+                    own = slice(at[k], at[k + 1])
+                    text, leaves, _, *counts = edited(encoder, text, chars[own], tokens[own], edits_of(text))
+                    for values, value in zip(out, (text, *counts, len(leaves))):
+                        values.append(value)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *(pa.array(c, t) for c, t in zip(out, [pa.string(), *[pa.int64()] * 5]))], names=[id_col, *names])
 
-    return F.pandas_udf(found, EDITS)(text)
+    plain = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    return plain.mapInArrow(run, f"`{id_col}` {kind}, text string, n_before long, n_tokens long, n_edits long, n_encoded long, n_leaves long")
 
 
 def op10_edit_counts(spark, sf_dir: str) -> DataFrame:
     """Per document its number of tokens, and that after personal data gave way to marks."""
-    trees = token_trees(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    found = apply_edits(trees.withColumn("edits", redactions(F.col("text"))))
-    return found.select("doc_id", F.col("n_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), "n_edits", F.size("chars").cast("long").alias("n_leaves"), "n_encoded", F.sha2("text", 256).alias("edited_sha256"))
+    found = edited_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), redaction_edits)
+    return found.select("doc_id", F.col("n_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), "n_edits", "n_leaves", "n_encoded", F.sha2("text", 256).alias("edited_sha256"))
