@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from emberline.llm import textbytes as tb
 from emberline.llm.induced import IN_MEMORY, MEMORY, suffixes
-from emberline.llm.lineage import cut
+from emberline.llm.lineage import cut, discard, written
 
 LENGTH, KMER, RANGES = 400, 32, 2
 #: A passage is a removed run of at least so many words, found by strings of so many bytes.
@@ -206,15 +206,16 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = rows.mapInArrow(_anchors(length, deep), _with_id(docs.schema[id_col].dataType, "h1 long, h2 long, key array<long>, whole array<long>, start array<int>, windows array<int>, size array<int>"))
     # texts that are copies of one another are one from here on, with their number
     texts = found.where(F.size("key") > 0).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in names])
-    texts = cut(texts)
+    texts = written(texts)
     parts = texts.select("h1", "h2", "id", "n", F.explode(F.arrays_zip(*names)).alias("p")).select("h1", "h2", "id", "n", "p.*")
     twice = texts.select("n", F.explode("key").alias("key")).groupBy("key").agg(F.sum("n").alias("times"), F.count("*").alias("rows")).where("times > 1")
-    parts = cut(_met(parts, twice, "rows"))
+    parts = written(_met(parts, twice, "rows"))
+    discard(texts)
     kinds = parts.groupBy("key", "whole").agg(F.sum("n").alias("times"), F.first("windows").alias("windows"), F.first("size").alias("size"), F.min(F.struct("h1", "h2", "id", "start")).alias("at"))
-    kinds = cut(kinds)
+    kinds = written(kinds)
     several = kinds.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
     to_sort = _met(kinds, several, "kinds").select("at.h1", "at.h2", "at.id", F.struct("key", "whole", F.col("at.start").alias("start"), "windows", "size").alias("part"))
-    to_sort = cut(to_sort)
+    to_sort = written(to_sort)
     size = to_sort.agg(F.sum("part.size")).first()[0]
     wanted = to_sort.groupBy("h1", "h2", F.col("id").alias("id_")).agg(F.collect_list("part").alias("parts"))
     held = _split(rows, to_sort)[0].join(wanted, ["h1", "h2"]).where(F.col("id").eqNullSafe(F.col("id_"))).select("_text", "parts")
@@ -227,6 +228,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         far = F.least(F.col("windows"), F.col("size") - (deep - 1))
         runs = runs.unionByName(again.where(far > 0).select("key", "whole", F.lit(0).alias("lo"), far.alias("hi"), F.lit(True).alias("wide")))
     runs = cut(runs)
+    discard(kinds)
+    discard(to_sort)
     placed = parts.join(runs, ["key", "whole"]).select("h1", "h2", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"), "wide").alias("run"))
     return placed.groupBy("h1", "h2").agg(F.array_sort(F.collect_set("run")).alias("runs"))
 
