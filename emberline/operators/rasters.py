@@ -152,28 +152,30 @@ def block_mean(raster: DataFrame, rate: int, value: str = "value") -> DataFrame:
     return raster.groupBy(block("row"), block("col")).agg(F.avg(value).alias(value))
 
 
-def crop_around(points: DataFrame, grid: Affine, width: float, resolution: float) -> DataFrame:
+def crop_around(points: DataFrame, grid: Affine, width: float, resolution: float, coarse: DataFrame | None = None) -> DataFrame:
     """The window of fine cells around each point, told by the coarse cells it is made of.
 
     ``point_id, row, col`` and the ranges ``i_lo, i_hi, j_lo, j_hi`` of fine cells of the
-    window that have the coarse cell's value. The coarse block reaches half a width to each
-    side; fine cells beyond it are cut off.
+    window that have the coarse cell's value; with ``coarse`` (row, col and values) these
+    values too, null where it lacks the cell. Fine cells beyond half a width of whole
+    coarse cells to each side (one more behind if an odd number fits) are cut off.
     """
-    pixel = grid.a
-    rate = int(pixel / resolution)
-    across = width / pixel
-    odd = 1 if int(across) % 2 == 1 or round(across) % 2 == 1 else 0
-    reach, fine = math.ceil(across / 2), int(width / pixel * rate)
+    cells, rate = width / grid.a, int(grid.a / resolution)
+    size, half = int(cells * rate), math.ceil(cells / 2)
+    behind = half - 1 + any(n % 2 for n in (int(cells), round(cells)))
+
+    def met(place: Column) -> Column:
+        """Along one axis, the coarse cells that the window meets, each with its range there."""
+        own = F.floor(place)
+        corner = own - half
+        start = corner * rate + F.floor((place - corner) * rate) - size // 2
+        some = F.sequence(F.greatest(F.floor(start / rate), corner), F.least(F.floor((start + size - 1) / rate), own + behind))
+        return F.transform(some, lambda c: F.struct(c.cast("int").alias("cell"), F.greatest(c * rate - start, F.lit(0)).cast("int").alias("lo"), F.least((c + 1) * rate - start, F.lit(size)).cast("int").alias("hi")))
+
     col, row = grid.index(F.col("x"), F.col("y"))
-    out = points.select("point_id", row.alias("fr"), col.alias("fc")).select("point_id", "fr", "fc", (F.floor("fr") - reach).cast("int").alias("r0"), (F.floor("fc") - reach).cast("int").alias("c0"))
-    first = lambda f, o: F.floor((F.col(f) - F.col(o)) * rate).cast("int") - fine // 2
-    out = out.select("point_id", "r0", "c0", first("fr", "r0").alias("top"), first("fc", "c0").alias("left"))
-    block = F.sequence(F.lit(0), F.lit(2 * reach + odd - 1))
-    out = out.withColumn("a", F.explode(block)).withColumn("b", F.explode(block))
-    lo = lambda k, t: F.greatest(F.col(k) * rate - F.col(t), F.lit(0)).cast("int")
-    hi = lambda k, t: F.least((F.col(k) + 1) * rate - F.col(t), F.lit(fine)).cast("int")
-    out = out.select("point_id", (F.col("r0") + F.col("a")).alias("row"), (F.col("c0") + F.col("b")).alias("col"), lo("a", "top").alias("i_lo"), hi("a", "top").alias("i_hi"), lo("b", "left").alias("j_lo"), hi("b", "left").alias("j_hi"))
-    return out.where("i_lo < i_hi and j_lo < j_hi")
+    out = points.select("point_id", met(row).alias("r"), met(col).alias("c")).withColumn("r", F.explode("r")).withColumn("c", F.explode("c"))
+    out = out.select("point_id", F.col("r.cell").alias("row"), F.col("c.cell").alias("col"), F.col("r.lo").alias("i_lo"), F.col("r.hi").alias("i_hi"), F.col("c.lo").alias("j_lo"), F.col("c.hi").alias("j_hi"))
+    return out if coarse is None else out.join(coarse, ["row", "col"], "left")
 
 
 def mask_counts(one: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
