@@ -18,3 +18,8 @@ def numbered(df: DataFrame, order: list[Column], name: str = "position", partiti
     # one row for each partition
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
     return rows.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).drop("_part", "_at", "_before")
+
+
+def gathered(numbered_rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows at the wanted positions (column ``position``), once for each time it is wanted; positions beyond the rows give none."""
+    return wanted.select("position").join(numbered_rows, "position")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberline.functions import geo
-from emberline.functions.times import acquired, month_ranges
+from emberline.functions.times import acquired, daytime, local_time, month_ranges
 from emberline.operators import clusters, polygons, ranks, rasterize, reasons, training
 from emberline.operators import rasters as ra
 from emberline.operators import window_join as wj
@@ -203,12 +203,30 @@ def limit_kept(spark, sf):
     return training.first_kept(filter_reason(spark, sf), 100)
 
 
+def local_daytime(spark, sf):
+    return detections(spark, sf).select("det_id", daytime(local_time(F.col("acq_datetime"), F.col("longitude"))).alias("is_day"))
+
+
+def filtered_share(spark, sf):
+    return reasons.shares(filter_reason(spark, sf)).withColumn("percent", F.round("percent", 6))
+
+
+def position_gather(spark, sf):
+    table = ranks.numbered(detections(spark, sf).select("det_id", "acq_datetime", "x", "y"), [F.col(c) for c in ("acq_datetime", "x", "y", "det_id")])
+    return ranks.gathered(table, detections(spark, sf).select(F.col("det_id").alias("position"))).select("position", "x", "y", "acq_datetime")
+
+
+def cluster_days_in_order(spark, sf):
+    days = daily(spark, sf, True)
+    return ranks.numbered(days, [F.col("date_local"), F.col("cluster_id")]).select("position", "date_local", "cluster_id", "num_det")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         st_window_join, st_window_join_drop_last, multi_window_counts, rasterize_exact, rasterize_recency, rasterize_circle, rasterize_fractional,
         filter_min_detections, filter_land_cover, filter_reason, target_any, mask_set_counts, mask_iou, parse_acq_datetime, filter_type_date, filter_bbox,
-        filter_halo, filter_points, filter_season, point_in_polygon, albers_project, haversine, affine, vpd, union_years, years_in_range, search_table_rank,
+        filter_halo, filter_points, filter_season, point_in_polygon, local_daytime, filtered_share, position_gather, cluster_days_in_order, albers_project, haversine, affine, vpd, union_years, years_in_range, search_table_rank,
         radius_neighbors, cluster_parent, cluster_forward, cluster_daily_gapfill, cluster_daily_moving, batch_slice, limit_kept,
     )
 } | {"month_ranges": months}
@@ -282,3 +300,10 @@ ORACLES = {
     "batch_slice": sql("SELECT point_id, position FROM (SELECT point_id, CAST(row_number() OVER (ORDER BY point_id) - 1 AS BIGINT) AS position FROM points) WHERE position BETWEEN 160 AND 479", "detections", "points"),
     "limit_kept": sql(COVER.format(cond=IN, top=2) + COMBINED + " SELECT * FROM combined WHERE reason = 0 ORDER BY point_id LIMIT 100", "detections", "points", "windows", "raster_cells"),
 }
+
+ORACLES |= {
+    "local_daytime": sql("SELECT det_id, CAST(hour(acq_datetime + to_minutes(CAST(round(longitude/15*4)*15 AS BIGINT))) BETWEEN 10 AND 16 AS INT) AS is_day FROM detections", "detections"),
+    "filtered_share": f"SELECT reason, count(*) AS n, round(100*count(*)/sum(count(*)) OVER (), 6) AS percent FROM ({ORACLES['filter_reason']}) GROUP BY reason",
+    "position_gather": sql("SELECT position, x, y, acq_datetime FROM (SELECT x, y, acq_datetime, CAST(row_number() OVER (ORDER BY acq_datetime, x, y, det_id) - 1 AS BIGINT) AS position FROM detections) JOIN (SELECT det_id AS position FROM detections) USING (position)", "detections"),
+    "cluster_days_in_order": f"SELECT CAST(row_number() OVER (ORDER BY date_local, cluster_id) - 1 AS BIGINT) AS position, date_local, cluster_id, num_det FROM ({ORACLES['cluster_daily_gapfill']})",
+}
