@@ -136,23 +136,28 @@ def small_types(text: np.ndarray, memory: int) -> np.ndarray:
     return out
 
 
-def doubled(names: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks of the suffixes of a text of names, by doubling; as ties at ``depth`` names and beyond."""
+def doubled(names: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The order of the suffixes of a text of names, by doubling, as ties from ``depth`` names on; and for each
+    power of two, from 1, numbers that are equal where so many names are."""
     n = len(names)
-    rank = names.astype(np.int64)
-    h = 1
-    while h < depth:
-        follow = np.zeros(n, np.int64)
-        follow[: n - h] = rank[h:] + 1
-        key = rank * (int(follow.max()) + 1) + follow
-        order = np.argsort(key)
-        new = np.concatenate(([0], np.cumsum(np.diff(key[order]) != 0)))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
-            break
+    order = np.argsort(names, kind="stable")
+    slots, key, h = np.arange(n), names[order], 1
+    levels: list[np.ndarray] = []
+    rank = np.empty(n, np.int64)
+    while True:
+        # a group of equal names has the number of its first place; what is alone in its place stays there
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        group = np.cumsum(fresh) - 1
+        rank[order[slots]] = slots[fresh][group]
+        levels.append(rank.astype(np.int32))
+        slots = slots[np.bincount(group)[group] > 1]
+        if not len(slots) or h >= depth:
+            return order, levels
+        at = order[slots]
+        key = rank[at] * (n + 1) + np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + 1, 0)
+        inner = np.argsort(key)
+        order[slots], key = at[inner], key[inner]
         h *= 2
-    return rank
 
 
 def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -236,22 +241,36 @@ def common(text: np.ndarray, words: np.ndarray | None, a: np.ndarray, b: np.ndar
     return np.minimum(out, depth).astype(np.uint16)
 
 
-def starred_order(text: np.ndarray, small: np.ndarray, depth: int, memory: int, in_memory: int) -> np.ndarray:
-    """Positions of the leftmost S suffixes in ascending order."""
+def starred_order(text: np.ndarray, words: np.ndarray | None, small: np.ndarray, depth: int, memory: int, in_memory: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the leftmost S suffixes in ascending order, and the prefix that each shares with the one before it."""
     star = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    shared = np.zeros(len(star), np.uint16)
     if len(star) < 2:
-        return star
+        return star, shared
     size = np.diff(np.concatenate((star, [len(text)]))) + 1  # with the letter at which the next one starts, or the end
     names = _named(text, star, size)
     if names.max() == len(star) - 1:
-        return star[np.argsort(names, kind="stable")]
-    if len(names) <= in_memory:
-        return star[np.argsort(doubled(names, depth // 2 + 2))]  # a name takes two letters at least
-    order, end = roomy(len(star), np.int64, memory), len(star)
-    for at, _ in suffixes(names, depth, memory, in_memory):
-        order[end - len(at) : end] = star[at]
-        end -= len(at)
-    return order
+        found = star[np.argsort(names, kind="stable")]
+    elif len(names) <= in_memory:
+        order, levels = doubled(names, depth // 2 + 2)  # a name takes two letters at least
+        a, b = order[1:].copy(), order[:-1].copy()
+        for k in range(len(levels) - 1, -1, -1):  # past all names that are equal
+            same = (levels[k][a] == levels[k][b]).astype(np.int64) << k
+            a += same
+            b += same
+        found = star[order]
+        past = star[a] - found[1:]
+        open_ = np.flatnonzero(past < depth)
+        shared[1:] = depth
+        shared[1 + open_] = np.minimum(past[open_] + common(text, words, star[a[open_]], star[b[open_]], depth), depth)
+        return found, shared
+    else:
+        found, end = roomy(len(star), np.int64, memory), len(star)
+        for at, _ in suffixes(names, depth, memory, in_memory):
+            found[end - len(at) : end] = star[at]
+            end -= len(at)
+    shared[1:] = common(text, words, found[1:], found[:-1], depth)
+    return found, shared
 
 
 def suffixes(text: np.ndarray, depth: int, memory: int = MEMORY, in_memory: int = IN_MEMORY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -263,12 +282,10 @@ def suffixes(text: np.ndarray, depth: int, memory: int = MEMORY, in_memory: int
     n = len(text)
     if not n:
         return
-    small = small_types(text, memory)
+    text = text.view(np.ndarray)
+    small = small_types(text, memory).view(np.ndarray)
     words = packed(text, depth, memory)
-    star = starred_order(text, small, depth, memory, in_memory)
-    shared = np.zeros(len(star), np.uint16)
-    if len(star) > 1:
-        shared[1:] = common(text, words, star[1:], star[:-1], depth)
+    star, shared = starred_order(text, words, small, depth, memory, in_memory)
     letters = np.unique(text)
     edge = np.searchsorted(text[star], letters, side="left"), np.searchsorted(text[star], letters, side="right")
     cap = np.uint16(depth)
