@@ -136,11 +136,10 @@ def small_types(text: np.ndarray, memory: int) -> np.ndarray:
     return out
 
 
-def doubled(names: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def doubled(names: np.ndarray, order: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The order of the suffixes of a text of names, by doubling, as ties from ``depth`` names on; and for each
-    power of two, from 1, numbers that are equal where so many names are."""
+    power of two, from 1, numbers that are equal where so many names are. ``order`` sorts the names and is changed."""
     n = len(names)
-    order = np.argsort(names, kind="stable")
     slots, key, h = np.arange(n), names[order], 1
     levels: list[np.ndarray] = []
     rank = np.empty(n, np.int64)
@@ -160,8 +159,8 @@ def doubled(names: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]
         h *= 2
 
 
-def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Equal or ordered numbers for equal or ordered substrings; one that ends counts as greater than one that goes on."""
+def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal or ordered numbers for equal or ordered substrings, and the order that sorts them; one that ends counts as greater than one that goes on."""
     pad = int(text.max()) + 2
     bits = pad.bit_length()
     take = max(1, 62 // bits)
@@ -185,7 +184,7 @@ def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         if not len(tied):
             rank = np.empty(len(start), np.int64)
             rank[order] = group
-            return rank
+            return rank, order
         # members of a group that end here stay at its end, as the greater ones
         whole = np.flatnonzero(np.isin(group, np.unique(group[tied])))
         at = order[whole]
@@ -248,11 +247,11 @@ def starred_order(text: np.ndarray, words: np.ndarray | None, small: np.ndarray,
     if len(star) < 2:
         return star, shared
     size = np.diff(np.concatenate((star, [len(text)]))) + 1  # with the letter at which the next one starts, or the end
-    names = _named(text, star, size)
+    names, order = _named(text, star, size)
     if names.max() == len(star) - 1:
-        found = star[np.argsort(names, kind="stable")]
+        found = star[order]
     elif len(names) <= in_memory:
-        order, levels = doubled(names, depth // 2 + 2)  # a name takes two letters at least
+        order, levels = doubled(names, order, depth // 2 + 2)  # a name takes two letters at least
         a, b = order[1:].copy(), order[:-1].copy()
         for k in range(len(levels) - 1, -1, -1):  # past all names that are equal
             same = (levels[k][a] == levels[k][b]).astype(np.int64) << k
