@@ -140,22 +140,31 @@ def doubled(names: np.ndarray, order: np.ndarray, depth: int) -> tuple[np.ndarra
     """The order of the suffixes of a text of names, by doubling, as ties from ``depth`` names on; and for each
     power of two, from 1, numbers that are equal where so many names are. ``order`` sorts the names and is changed."""
     n = len(names)
+    bits = n.bit_length()
     slots, key, h = np.arange(n), names[order], 1
     levels: list[np.ndarray] = []
-    rank = np.empty(n, np.int64)
+    rank = np.full(n + depth, -1, np.int32)  # nothing is less than the end
     while True:
         # a group of equal names has the number of its first place; what is alone in its place stays there
-        fresh = np.concatenate(([True], key[1:] != key[:-1]))
-        group = np.cumsum(fresh) - 1
-        rank[order[slots]] = slots[fresh][group]
-        levels.append(rank.astype(np.int32))
-        slots = slots[np.bincount(group)[group] > 1]
+        fresh = np.concatenate(([True], key[1:] != key[:-1], [True]))
+        edge = np.flatnonzero(fresh)
+        rank[order[slots]] = np.repeat(slots[edge[:-1]], np.diff(edge))
+        levels.append(rank[:n].copy())
+        slots = slots[~(fresh[:-1] & fresh[1:])]
         if not len(slots) or h >= depth:
             return order, levels
         at = order[slots]
-        key = rank[at] * (n + 1) + np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + 1, 0)
-        inner = np.argsort(key)
-        order[slots], key = at[inner], key[inner]
+        key = rank[at].astype(np.int64) << bits | (rank[at + h] + 1)
+        if 2 * bits + len(at).bit_length() <= 63:  # the place fits below the key: sorting values is faster than sorting places
+            size = len(at).bit_length()
+            key = key << size | np.arange(len(at))
+            key.sort()
+            inner = key & ((1 << size) - 1)
+            key >>= size
+            order[slots] = at[inner]
+        else:
+            inner = np.argsort(key)
+            order[slots], key = at[inner], key[inner]
         h *= 2
 
 
@@ -174,7 +183,7 @@ def _named(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.nd
         return out
 
     key = word(start, size, 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)  # equal ones in any order: they get one name
     fresh = np.concatenate(([True], np.diff(key[order]) != 0))
     done = take
     while True:
