@@ -107,14 +107,18 @@ def _anchors(length: int, deep: int):
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the stretches that are listed with each text."""
-    schema = pa.schema([("key", pa.int64()), ("whole", pa.int64()), ("windows", pa.int32()), ("bytes", pa.binary())])
     for batch in batches:
         data, offs = tb.buffers(batch.column("_text"))
-        view = memoryview(data)
-        for k, parts in enumerate(batch.column("parts").to_pylist()):
-            for a in range(0, len(parts), 10_000):
-                out = [(p["key"], p["whole"], p["windows"], bytes(view[offs[k] + p["start"] : offs[k] + p["start"] + p["size"]])) for p in parts[a : a + 10_000]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
+        view, lists = memoryview(data), batch.column("parts")
+        of = np.repeat(offs[:-1], np.asarray(lists.value_lengths().fill_null(0)))
+        parts = lists.flatten()
+        key, whole, windows = (parts.field(c) for c in ("key", "whole", "windows"))
+        start = of + np.asarray(parts.field("start"))
+        end = start + np.asarray(parts.field("size"))
+        for a in range(0, len(parts), 10_000):
+            some = slice(a, a + 10_000)
+            content = [bytes(view[lo:hi]) for lo, hi in zip(start[some].tolist(), end[some].tolist())]
+            yield pa.RecordBatch.from_arrays([key[some], whole[some], windows[some], pa.array(content, pa.binary())], names=["key", "whole", "windows", "bytes"])
 
 
 def _sorted_shard(length: int, deep: int, memory: int, in_memory: int):
