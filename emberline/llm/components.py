@@ -25,19 +25,20 @@ def _small_star(edges: DataFrame, n: int) -> DataFrame:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of a link: the least node that can be reached.
 
-    Large-star and small-star steps in turn, each written before the next; groups are
-    counted before they are shuffled, and no neighbourhood is gathered in one row. Loops,
-    repeated links and nulls do no harm; nodes with loops only are left out. Steps take as
-    many tasks as the links ask for.
+    Large-star and small-star steps in turn, each written before the next, until all links
+    lead to ends that lead nowhere and no node has two; groups are counted before they are
+    shuffled, and no neighbourhood is gathered in one row. Loops, repeated links and nulls do
+    no harm; nodes with loops only are left out. Steps take as many tasks as the links ask for.
     """
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     edges = cut(edges)
-    seen = None
+    n = parts(edges.count())
     while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
-        n = parts(now[0])
         edges = edges.coalesce(n)
-        if seen == now or not now[0]:
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).coalesce(n)
+        count, bad = ends.agg(F.sum("up"), F.sum(F.expr("int(up > 1 or (up > 0 and down > 0))"))).first()
+        if not bad:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        seen = now
+        n = parts(count)
         edges = cut(_small_star(_large_star(edges, n).coalesce(n), n).coalesce(n))
