@@ -103,8 +103,8 @@ def spans(text: np.ndarray, offs: np.ndarray, out: np.ndarray) -> tuple[np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def keys(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte ranges, which are in order and don't overlap."""
+def keys(text: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = BYTE) -> np.ndarray:
+    """64-bit hashes of the byte ranges, which are in order and don't overlap; another ``table`` of bytes gives other hashes."""
     out = np.empty(len(start), U)
     if not len(start):
         return out
@@ -114,7 +114,7 @@ def keys(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         s, e = int(start[a]), int(end[b - 1])
         up, down = powers(1 << max(18, int(e - s).bit_length()))
         total = np.zeros(e - s + 1, U)
-        np.cumsum(BYTE[text[s:e]] * up[: e - s], out=total[1:])
+        np.cumsum(table[text[s:e]] * up[: e - s], out=total[1:])
         lo, hi = start[a:b] - s, end[a:b] - s
         out[a:b] = (total[hi] - total[lo]) * down[lo] + (hi - lo).astype(U) * U(0xA0761D6478BD642F)
     return mix(out)
