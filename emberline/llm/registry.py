@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.llm import bpe, brown, collocations, exact_dedup, fuzzy_lines, minhash, packing, quality_lines, repeats, token_counts, warc, whitening
+from emberline.llm import bpe, brown, collocations, exact_dedup, fuzzy_lines, minhash, packing, page_text, quality_lines, repeats, token_counts, warc, whitening
 
 QUERIES = {
     "op1_fuzzy_lines": fuzzy_lines.op1_fuzzy_lines,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_suffix_array": repeats.op9_suffix_array,
     "op10_edit_counts": token_counts.op10_edit_counts,
+    "op11_page_text": page_text.op11_page_text,
     "op12_whitening": whitening.op12_whitening,
     "op13_collocations": collocations.op13_collocations,
 }
@@ -22,6 +23,7 @@ QUERIES = {
 ORACLES = {
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op8_warc": warc.ORACLE,
+    "op11_page_text": page_text.op11_page_text,
     "op12_whitening": whitening.op12_whitening,
     "op13_collocations": collocations.ORACLE,
 }
