@@ -38,6 +38,7 @@ CELLS = 1 << 24
 FURNITURE = frozenset("nav footer aside form menu dialog".split())
 OUTSIDE = frozenset("header".split())
 UNSEEN = frozenset("head noscript template svg iframe object canvas audio video select button datalist map math".split())
+ABSENT = FURNITURE | UNSEEN
 RAW = frozenset("script style title textarea xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
@@ -55,7 +56,6 @@ OUTER_NAMES = frozenset("header footer topbar bottombar".split())
 TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|$)|<[/a-zA-Z][^>]*(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
-SPACES = re.compile(r"\s+")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: What is declared of a line.
@@ -64,9 +64,7 @@ OPEN, ARTICLE, GONE = 0, 1, 2
 
 def _declared(tag: str, attributes: str, inside: bool) -> int | None:
     """What an element says of its content; ``inside`` an article, headers are its own."""
-    if tag in FURNITURE or tag in UNSEEN:
-        return GONE
-    if not inside and tag in OUTSIDE:
+    if tag in ABSENT or not inside and tag in OUTSIDE:
         return GONE
     kind = ARTICLE if tag in ("article", "main") else None
     if "=" not in attributes and "hidden" not in attributes:
@@ -99,19 +97,25 @@ def read_lines(page: str) -> list[tuple[str, int]]:
 
     def flush():
         if text:
-            line = SPACES.sub(" ", html.unescape("".join(text))).strip()
+            line = "".join(text)
+            text.clear()
+            line = " ".join((html.unescape(line) if "&" in line else line).split())
             if line:
                 out.append((line, state))
-            text.clear()
 
     at, end = 0, len(page)
     while at < end:
-        m = TAG.search(page, at)
-        if m is None:
+        mark = page.find("<", at)
+        if mark < 0:
             text.append(page[at:])
             break
-        if m.start() > at:
-            text.append(page[at : m.start()])
+        if mark > at:
+            text.append(page[at:mark])
+        m = TAG.match(page, mark)
+        if m is None:
+            text.append("<")
+            at = mark + 1
+            continue
         at = m.end()
         tag = m[2]
         if tag is None:
