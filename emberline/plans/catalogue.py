@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.plans import grids, points
+from emberline.plans import grids, points, regions
 
-QUERIES = points.QUERIES | grids.QUERIES
-ORACLES = points.ORACLES | grids.ORACLES
+QUERIES = points.QUERIES | grids.QUERIES | regions.QUERIES
+ORACLES = points.ORACLES | grids.ORACLES | regions.ORACLES
