@@ -1,7 +1,6 @@
 """Static rasters as tables of cells (row, col, value): recoding, windows, pooling, regridding.
 
-Pooled values of a window come from running sums over rows and columns, so each costs
-four lookups however large the window is.
+Pooled values of a window come from summed-area tables in tiles.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from emberline.functions import tables
 from emberline.functions.geo import Affine
+from emberline.operators import tiles
 
 MISSING = tables.MISSING[0]
 
@@ -60,48 +60,32 @@ def one_hot(chips: DataFrame, classes: int) -> DataFrame:
     return chips.select("point_id", "i", "j", *[(F.col("value") == k).cast("int").alias(f"k{k}") for k in range(classes)])
 
 
-def running_sums(raster: DataFrame, values: list[str]) -> DataFrame:
-    """For each cell of the raster's bounding box the sums over all cells above and left of it, itself included.
-
-    Cells that are absent or null count as 0 and are not counted in ``cells``. Windows are
-    partitioned by row, then by column: a partition is as long as a side of the raster.
-    """
-    box = raster.agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1")).where("r0 is not null")
-    full = box.select("c0", "c1", F.explode(F.sequence("r0", "r1")).alias("row")).select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
-    full = full.join(raster.select("row", "col", *values), ["row", "col"], "left")
-    full = full.withColumn("cells", F.col(values[0]).isNotNull().cast("long"))
-    along, down = Window.partitionBy("row").orderBy("col"), Window.partitionBy("col").orderBy("row")
-    names = [*values, "cells"]
-    full = full.select("row", "col", *[F.sum(F.coalesce(F.col(v), F.lit(0))).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(v) for v in names])
-    return full.select("row", "col", *[F.sum(v).over(down.rowsBetween(Window.unboundedPreceding, 0)).alias(v) for v in names])
-
-
 def pool_edges(width: int, parts: int) -> list[tuple[int, int]]:
     """The overlapping ranges [floor(i * r), ceil((i + 1) * r)) with r = width / parts."""
     return [(width * i // parts, -(-width * (i + 1) // parts)) for i in range(parts)]
 
 
-def pooled(points: DataFrame, raster: DataFrame, grid: Affine, width: int, parts: int, values: list[str], inverse_sides: bool = False) -> DataFrame:
+def pool_parts(points: DataFrame, grid: Affine, width: int, parts: int) -> DataFrame:
+    """``point_id, pi, pj`` and the cells r0, r1, c0, c1 (half-open) of each part of the chip around each point."""
+    row, col = grid.cell(F.col("x"), F.col("y"))
+    one = [F.struct(F.lit(i).alias("k"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pool_edges(width, parts))]
+    rows = points.select("point_id", (row - width // 2).alias("_r"), (col - width // 2).alias("_c"))
+    rows = rows.withColumn("p", F.explode(F.array(*one))).withColumn("q", F.explode(F.array(*one)))
+    return rows.select("point_id", F.col("p.k").alias("pi"), F.col("q.k").alias("pj"), (F.col("_r") + F.col("p.a")).alias("r0"), (F.col("_r") + F.col("p.b")).alias("r1"), (F.col("_c") + F.col("q.a")).alias("c0"), (F.col("_c") + F.col("q.b")).alias("c1"))
+
+
+def pooled(points: DataFrame, raster: DataFrame, grid: Affine, width: int, parts: int, values: list[str], inverse_sides: bool = False, counted: dict[str, str] | None = None) -> DataFrame:
     """``point_id, pi, pj`` and the mean of each value over each part of the chip; null where a cell is missing.
 
     ``inverse_sides`` divides by the sum of a part's sides instead of by its area.
+    ``counted`` tells by which value's cells another is judged; without it all go by the first.
     """
-    sums = running_sums(raster, values)
-    box = sums.agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"))
-    row, col = grid.cell(F.col("x"), F.col("y"))
-    edges = pool_edges(width, parts)
-    part = F.explode(F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(j).alias("pj"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"), F.lit(d).alias("d")) for i, (a, b) in enumerate(edges) for j, (c, d) in enumerate(edges)]))
-    rows = points.select("point_id", (row - width // 2).alias("_r"), (col - width // 2).alias("_c"), part.alias("p"))
-    corner = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(u).alias("u"), F.lit(v).alias("v")) for s, u, v in ((1, "b", "d"), (-1, "a", "d"), (-1, "b", "c"), (1, "a", "c"))]))
-    rows = rows.withColumn("k", corner).crossJoin(F.broadcast(box))  # one row
-    at = lambda base, which, lo, hi: F.col(base) + F.when(F.col(which) == lo, F.col(f"p.{lo}")).otherwise(F.col(f"p.{hi}")) - 1
-    rows = rows.withColumn("row", F.least(at("_r", "k.u", "a", "b"), "r1")).withColumn("col", F.least(at("_c", "k.v", "c", "d"), "c1"))
-    area = ((F.col("p.b") - F.col("p.a")) * (F.col("p.d") - F.col("p.c"))).alias("area")
-    rows = rows.select("point_id", "p.pi", "p.pj", area, (F.col("p.b") - F.col("p.a") + F.col("p.d") - F.col("p.c")).alias("sides"), "k.s", "row", "col")
-    found = rows.join(sums, ["row", "col"], "left")
-    found = found.groupBy("point_id", "pi", "pj", "area", "sides").agg(*[F.sum(F.col("s") * F.coalesce(F.col(v), F.lit(0))).alias(v) for v in [*values, "cells"]])
-    by = F.col("sides") if inverse_sides else F.col("area")
-    return found.select("point_id", "pi", "pj", *[F.when(F.col("cells") == F.col("area"), F.col(v) / by).alias(v) for v in values])
+    judge = {v: (counted or {}).get(v, values[0] if counted is None else v) for v in values}
+    widest = max(b - a for a, b in pool_edges(width, parts))
+    found = tiles.rectangle_sums(pool_parts(points, grid, width, parts), raster, values, widest, sorted(set(judge.values())))
+    high, wide = F.col("r1") - F.col("r0"), F.col("c1") - F.col("c0")
+    by = high + wide if inverse_sides else high * wide
+    return found.select("point_id", "pi", "pj", *[F.when(F.col(f"n_{judge[v]}") == high * wide, F.col(v) / by).alias(v) for v in values])
 
 
 def ocean_masked(raster: DataFrame, in_ocean: Column, category: str, value: str = "value") -> DataFrame:
