@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberline.plans import grids, land_cover, points, regions
+from emberline.plans import dataset, grids, land_cover, points, regions
 
-QUERIES = points.QUERIES | grids.QUERIES | regions.QUERIES | land_cover.QUERIES
-ORACLES = points.ORACLES | grids.ORACLES | regions.ORACLES | land_cover.ORACLES
+QUERIES = points.QUERIES | grids.QUERIES | regions.QUERIES | land_cover.QUERIES | dataset.QUERIES
+ORACLES = points.ORACLES | grids.ORACLES | regions.ORACLES | land_cover.ORACLES | dataset.ORACLES

@@ -213,26 +213,10 @@ def new_perimeter_loss(spark, sf):
     return metrics.perimeter_losses(example_cells(spark, sf), 60, 60, new=True)
 
 
-def flagship_dataset(spark, sf):
-    """Everything that belongs to a point, as sparse rows: ``point_id, component, layer, row, col, value``."""
-    p, windows = points(spark, sf), wj.standard_windows()
-    shape = lambda df, component, layer, row, col, value: df.select("point_id", F.lit(component).alias("component"), *[c.cast("int").alias(n) for c, n in ((layer, "layer"), (row, "row"), (col, "col"))], value.cast("double").alias("value"))
-    zero = F.lit(0)
-    seen = rasterize.exact(pq.matches(spark, sf, windows))
-    parts = [shape(pq.filter_reason(spark, sf), "reason", zero, zero, zero, F.col("reason")), shape(seen, "detections", F.col("layer"), F.col("row"), F.col("col"), F.lit(1))]
-    parts.append(shape(land_cover_avg_pool(spark, sf).where("dem is not null"), "land_cover", zero, F.col("pi"), F.col("pj"), F.col("dem")))
-    met = weather_window_mean(spark, sf)
-    parts += [shape(met, "meteorology", F.col("pair") * 2 + k, F.col("i"), F.col("j"), F.col(v)) for k, v in enumerate(("temperature", "wind_u"))]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 QUERIES = {
     f.__name__: f
     for f in (
-        flagship_dataset, land_cover_chip, land_cover_onehot, land_cover_avg_pool, land_cover_sides_pool, land_cover_onehot_pool, nlcd_recode, class_inventory,
+        land_cover_chip, land_cover_onehot, land_cover_avg_pool, land_cover_sides_pool, land_cover_onehot_pool, nlcd_recode, class_inventory,
         ocean_mask, ocean_mask_topography, raster_pad, raster_resample_nearest, upsample, block_mean, distinct_classes, crop_around, weather_window_mean,
         weather_interval_window_mean, weather_interval_mean_max, weather_daytime_mean_max, weather_asof_nearest, weather_missing_hours, weather_zero_mask,
         weather_pivot, layer_first_match, normalize_topography, normalize_land_cover, normalize_weather, channel_concat, mse, label_classes, perimeter_loss,
@@ -304,12 +288,3 @@ ORACLES = {
     "mse": sql("SELECT type, round(avg(pow(conf/100 - frp/500, 2)), 9) AS mse FROM detections GROUP BY type", "detections"),
     "label_classes": sql(f", burns AS (SELECT DISTINCT point_id FROM ({pq.layered(8, 7 + pq.HORIZON)})) SELECT count(DISTINCT b.point_id IS NULL) AS num_classes FROM points p LEFT JOIN burns b USING (point_id)", "detections", "points", "windows"),
 }
-
-_body = lambda name: "(" + ORACLES.get(name, pq.ORACLES.get(name)) + ")"
-ORACLES["flagship_dataset"] = f"""
-SELECT point_id, 'reason' AS component, 0 AS layer, 0 AS row, 0 AS col, CAST(reason AS DOUBLE) AS value FROM {_body("filter_reason")}
-UNION ALL SELECT point_id, 'detections', layer, row, col, CAST(1 AS DOUBLE) FROM ({sql(pq.layered(0, 12), "detections", "points", "windows")})
-UNION ALL SELECT point_id, 'land_cover', 0, pi, pj, dem FROM {_body("land_cover_avg_pool")} WHERE dem IS NOT NULL
-UNION ALL SELECT point_id, 'meteorology', pair*2, i, j, temperature FROM {_body("weather_window_mean")}
-UNION ALL SELECT point_id, 'meteorology', pair*2 + 1, i, j, wind_u FROM {_body("weather_window_mean")}
-"""

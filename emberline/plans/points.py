@@ -8,6 +8,7 @@ from emberline.functions import geo
 from emberline.functions.times import acquired, daytime, local_time, month_ranges
 from emberline.operators import clusters, polygons, ranks, rasterize, reasons, training
 from emberline.operators import rasters as ra
+from emberline.operators import window_cells as wc
 from emberline.operators import window_join as wj
 from emberline.plans import views
 from emberline.plans.views import detections, points, raster_cells, sql
@@ -17,6 +18,7 @@ CURRENT = [w for w in wj.standard_windows() if w[1] == "current"]
 TARGETS = [w for w in wj.standard_windows() if w[1] == "target"]
 REASON = [w for w in wj.standard_windows() if w[0] <= 2]
 HORIZON = 2
+LEGACY_LAGS = (0, 1, 2)
 RING = [[(-123.95, 34.05), (-123.5, 34.08), (-123.55, 34.5), (-123.75, 34.3), (-123.9, 34.55)]]
 REGION = [[(-123.9, 34.1), (-123.6, 34.1), (-123.6, 34.4), (-123.9, 34.4)]]
 KM, HOURS = 2.5, 6.0
@@ -74,6 +76,16 @@ def rasterize_fractional(spark, sf):
     return rasterize.rasterize(matches(spark, sf), "fractional").drop("layer")
 
 
+def all_window_cells(spark, sf):
+    """Cells of all windows of each point, as bits."""
+    p, windows = points(spark, sf), wj.standard_windows()
+    return wc.window_cells(p, wj.halo(p, detections(spark, sf), windows), windows).select("point_id", "row", "col", "windows")
+
+
+def dated_stack(spark, sf):
+    return wc.dated_stack(points(spark, sf), detections(spark, sf), LEGACY_LAGS)
+
+
 def filter_min_detections(spark, sf):
     return reasons.few_detections(wj.window_counts(points(spark, sf), detections(spark, sf), CURRENT)).drop("layer")
 
@@ -225,7 +237,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         st_window_join, st_window_join_drop_last, multi_window_counts, rasterize_exact, rasterize_recency, rasterize_circle, rasterize_fractional,
-        filter_min_detections, filter_land_cover, filter_reason, target_any, mask_set_counts, mask_iou, parse_acq_datetime, filter_type_date, filter_bbox,
+        all_window_cells, dated_stack, filter_min_detections, filter_land_cover, filter_reason, target_any, mask_set_counts, mask_iou, parse_acq_datetime, filter_type_date, filter_bbox,
         filter_halo, filter_points, filter_season, point_in_polygon, local_daytime, filtered_share, position_gather, cluster_days_in_order, albers_project, haversine, affine, vpd, union_years, years_in_range, search_table_rank,
         radius_neighbors, cluster_parent, cluster_forward, cluster_daily_gapfill, cluster_daily_moving, batch_slice, limit_kept,
     )
@@ -301,7 +313,12 @@ ORACLES = {
     "limit_kept": sql(COVER.format(cond=IN, top=2) + COMBINED + " SELECT * FROM combined WHERE reason = 0 ORDER BY point_id LIMIT 100", "detections", "points", "windows", "raster_cells"),
 }
 
+_STEPS = [("observed", s, -24 * s - 3, -24 * s + 3) for s in LEGACY_LAGS] + [("target", s, 24 * s - 3, 24 * s + 3) for s in (1, 2)] + [("burned", 0, -24 + 3 - 17520, -24 + 3)]
 ORACLES |= {
+    "all_window_cells": sql(f"SELECT point_id, row, col, CAST(sum(1 << layer) AS BIGINT) AS windows FROM ({layered(0, 12)}) GROUP BY ALL", "detections", "points", "windows"),
+    "dated_stack": sql(f""", steps AS (SELECT * FROM (VALUES {', '.join(map(str, _STEPS))}) AS v(kind, step, lo, hi))
+        SELECT point_id, kind, step, 59 - row AS row, col, CASE WHEN kind = 'burned' THEN CAST(min(age) // 3600000000 AS INT) END AS hours FROM (SELECT p.point_id, w.kind, w.step, epoch_us(p.ts) - epoch_us(d.acq_datetime) AS age, {CELL}
+          FROM points p CROSS JOIN steps w JOIN detections d ON {IN}) WHERE {HELD} GROUP BY point_id, kind, step, row, col""", "detections", "points"),
     "local_daytime": sql("SELECT det_id, CAST(hour(acq_datetime + to_minutes(CAST(round(longitude/15*4)*15 AS BIGINT))) BETWEEN 10 AND 16 AS INT) AS is_day FROM detections", "detections"),
     "filtered_share": f"SELECT reason, count(*) AS n, round(100*count(*)/sum(count(*)) OVER (), 6) AS percent FROM ({ORACLES['filter_reason']}) GROUP BY reason",
     "position_gather": sql("SELECT position, x, y, acq_datetime FROM (SELECT x, y, acq_datetime, CAST(row_number() OVER (ORDER BY acq_datetime, x, y, det_id) - 1 AS BIGINT) AS position FROM detections) JOIN (SELECT det_id AS position FROM detections) USING (position)", "detections"),
