@@ -27,12 +27,6 @@ def local_time(ts: Column, lon: Column) -> Column:
     return ts + F.make_dt_interval(mins=(F.round(lon / 15 * 4) * 15).cast("int"))
 
 
-def month_ranges(first: str, last: str) -> str:
-    """SQL for (start, stop) of each month from first to before last, the outer ones cut off there."""
-    months = f"explode(sequence(trunc('{first}', 'MM'), date_sub('{last}', 1), interval 1 month))"
-    return f"SELECT greatest(m, date '{first}') AS start, least(add_months(m, 1), date '{last}') AS stop FROM (SELECT {months} AS m)"
-
-
 def daytime(local: Column) -> Column:
     """1 from ten to before five in the afternoon, else 0; null stays null."""
     return F.when(local.isNotNull(), F.hour(local).between(10, 16).cast("int"))

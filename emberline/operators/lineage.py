@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, written once to ``spark.checkpoint.dir``; a folder of its own only where Spark is one process."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder only where none is set and Spark runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='emberline-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        if not folder:
-            if not spark.sparkContext.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            folder = f"file://{tempfile.mkdtemp(prefix='emberline-')}"
         spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -79,3 +79,13 @@ def batch(points: DataFrame, start: int, size: int, most: int = 320, position: s
 def first_kept(points: DataFrame, n: int, reason: str = "reason") -> DataFrame:
     """The first ``n`` points by id that nothing speaks against."""
     return points.where(F.col(reason) == 0).orderBy("point_id").limit(n)
+
+
+def gathered_channels(tensors: DataFrame, wanted: DataFrame, first: int, stop: int, column: str = "channels") -> DataFrame:
+    """The tensors at the wanted positions with channels ``first`` to before ``stop`` alone; arrays are cut whole, not exploded.
+
+    Both sides have ``position``; positions that are wanted again come again. Tensors with
+    fewer channels have those that they have.
+    """
+    length = F.greatest(F.least(F.lit(stop), F.size(column)) - first, F.lit(0))
+    return wanted.select("position").join(tensors, "position").withColumn(column, F.slice(column, F.lit(first + 1), length))

@@ -146,12 +146,11 @@ def weather_pivot(spark, sf):
     return we.pivoted(w, ["Temperature", "Wind speed (gust)"])
 
 
-MESSAGES = [(1, "Temperature"), (2, "Lightning"), (3, "Temperature"), (4, "Snow depth"), (5, "Lightning")]
-WANTED = ["Temperature", "Lightning", "Total Cloud Cover"]
-
-
 def layer_first_match(spark, sf):
-    return we.first_match(spark.createDataFrame(MESSAGES, "message long, name string"), spark.createDataFrame([(n,) for n in WANTED], "name string"))
+    """Names of parts as layers of messages in order of key; names of nations are wanted, too, and aren't found."""
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    wanted = part.where("p_size <= 5").select(F.col("p_type").alias("name")).distinct().unionByName(spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_name").alias("name")))
+    return we.first_match(part.select(F.col("p_partkey").alias("message"), F.col("p_type").alias("name")), wanted)
 
 
 def samples(spark, sf):
@@ -280,7 +279,7 @@ ORACLES = {
     "weather_zero_mask": sql(""", t AS (SELECT time, wrow, wcol, CAST(floor(temperature/100) AS BIGINT) AS temperature, wind_u FROM weather), f AS (SELECT wrow, wcol, arg_min(temperature, time) AS first FROM t GROUP BY ALL)
         SELECT time, wrow, wcol, CASE WHEN first <> 0 THEN temperature END AS temperature, CASE WHEN first <> 0 THEN wind_u END AS wind_u FROM t JOIN f USING (wrow, wcol)""", "detections", "weather"),
     "weather_pivot": sql("SELECT time, wrow AS row, wcol AS col, temperature, wind_u AS wind_speed_gust FROM weather", "detections", "weather"),
-    "layer_first_match": "SELECT * FROM (VALUES ('Temperature', CAST(1 AS BIGINT)), ('Lightning', 2), ('Total Cloud Cover', NULL)) AS v(name, message)",
+    "layer_first_match": "SELECT w.name, min(p_partkey) AS message FROM (SELECT DISTINCT p_type AS name FROM part WHERE p_size <= 5 UNION ALL SELECT n_name FROM nation) w LEFT JOIN part ON p_type = w.name GROUP BY w.name",
     "normalize_topography": _SAMPLES + "round((l_quantity - avg(l_quantity) OVER (PARTITION BY l_orderkey)) / (SELECT stddev_pop(l_quantity) FROM lineitem), 6) AS value FROM lineitem",
     "normalize_land_cover": _SAMPLES + "round((l_quantity - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev_pop(l_quantity) FROM lineitem), 6) AS value FROM lineitem",
     "normalize_weather": _SAMPLES + "round((l_quantity - avg(l_quantity) OVER c) / CASE WHEN stddev_pop(l_quantity) OVER c = 0 THEN 1 ELSE stddev_pop(l_quantity) OVER c END, 6) AS value FROM lineitem WINDOW c AS (PARTITION BY l_linenumber)",

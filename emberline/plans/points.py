@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberline.functions import geo
-from emberline.functions.times import acquired, daytime, local_time, month_ranges
+from emberline.functions.times import acquired, daytime, local_time
 from emberline.operators import clusters, polygons, ranks, rasterize, reasons, training
 from emberline.operators import rasters as ra
 from emberline.operators import window_cells as wc
@@ -13,6 +13,7 @@ from emberline.operators import window_join as wj
 from emberline.plans import views
 from emberline.plans.views import detections, points, raster_cells, sql
 from emberline.sources import detections as sd
+from emberline.sources.months import month_ranges
 
 CURRENT = [w for w in wj.standard_windows() if w[1] == "current"]
 TARGETS = [w for w in wj.standard_windows() if w[1] == "target"]
@@ -170,11 +171,11 @@ def union_years(spark, sf):
 
 
 def years_in_range(spark, sf):
-    return sd.years(spark, "2012-05-09 00:00:00", "2018-01-01 12:00:00")
+    return sd.years_of(detections(spark, sf))
 
 
 def months(spark, sf):
-    return spark.sql(month_ranges("2012-05-09", "2018-01-01"))
+    return month_ranges(detections(spark, sf), "acq_datetime")
 
 
 def search_table_rank(spark, sf):
@@ -298,8 +299,9 @@ ORACLES = {
     "affine": sql("SELECT det_id, row, col, (col + 0.5)*1500.0::DOUBLE AS cx, 60000 - (row + 0.5)*1500.0::DOUBLE AS cy FROM (SELECT det_id, CAST(floor((60000 - y)/1500) AS INT) AS row, CAST(floor(x/1500) AS INT) AS col FROM detections)", "detections"),
     "vpd": sql("SELECT det_id, round(greatest(s - conf/100*s, 0.0), 6) AS vpd FROM (SELECT det_id, conf, 0.611::DOUBLE * pow(10.0::DOUBLE, (7.5::DOUBLE*t - 2048.6::DOUBLE)/(t - 35.85::DOUBLE)) AS s FROM (SELECT *, frp/20 + 270 AS t FROM detections))", "detections"),
     "union_years": sql("SELECT det_id, acq_datetime FROM detections WHERE acq_datetime < TIMESTAMP '2024-01-10' AND acq_datetime >= TIMESTAMP '2024-01-01' OR acq_datetime >= TIMESTAMP '2024-01-20' AND acq_datetime < TIMESTAMP '2024-02-10'", "detections"),
-    "years_in_range": "SELECT CAST(unnest(range(2012, 2018)) AS INT) AS year",
-    "month_ranges": "SELECT CAST(greatest(m, DATE '2012-05-09') AS DATE) AS start, CAST(least(m + INTERVAL 1 MONTH, DATE '2018-01-01') AS DATE) AS stop FROM (SELECT unnest(range(DATE '2012-05-01', DATE '2018-01-01', INTERVAL 1 MONTH)) AS m)",
+    "years_in_range": sql("SELECT CAST(unnest(range(min(year(acq_datetime)), greatest(year(max(acq_datetime) - INTERVAL 24 HOUR), min(year(acq_datetime))) + 1)) AS INT) AS year FROM detections", "detections"),
+    "month_ranges": sql(""", span AS (SELECT CAST(min(acq_datetime) AS DATE) AS a, CAST(max(acq_datetime) AS DATE) + 1 AS b FROM detections)
+        SELECT CAST(greatest(m, a) AS DATE) AS start, CAST(least(m + INTERVAL 1 MONTH, b) AS DATE) AS stop FROM (SELECT a, b, unnest(range(date_trunc('month', a), CAST(b AS TIMESTAMP), INTERVAL 1 MONTH)) AS m FROM span)""", "detections"),
     "search_table_rank": sql("SELECT det_id, CAST(row_number() OVER (ORDER BY acq_datetime, x, y, det_id) - 1 AS BIGINT) AS position FROM detections", "detections"),
     "radius_neighbors": sql(f""", pairs AS (SELECT a.det_id, b.det_id AS other_id, (epoch_us(a.acq_datetime) - epoch_us(b.acq_datetime)) / 1e6 AS seconds,
           pow(sin((radians(b.latitude) - radians(a.latitude))/2), 2) + cos(radians(a.latitude))*cos(radians(b.latitude))*pow(sin((radians(b.longitude) - radians(a.longitude))/2), 2) AS h

@@ -51,3 +51,22 @@ def write_dataset(tables_by_name: dict[str, DataFrame], folder: str, attributes:
 
 def read_dataset(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
+
+
+def read_inputs(spark: SparkSession, folder: str, needed: list[str], optional: list[str] = (), points: str | None = None) -> dict[str, DataFrame]:
+    """The tables of a folder by name; an optional one that isn't there is left out, a needed one raises.
+
+    ``points`` names a table to take points from instead, such as a case study's.
+    """
+    from pyspark.errors import AnalysisException
+
+    found = {}
+    for name in [*needed, *optional]:
+        try:
+            found[name] = spark.read.parquet(f"{folder}/{name}")
+        except AnalysisException as e:
+            if name in needed or e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if points:
+        found["points"] = spark.read.parquet(f"{folder}/{points}").select("point_id", "ts", "x", "y")
+    return found

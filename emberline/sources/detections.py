@@ -18,6 +18,13 @@ def years(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.sql(f"SELECT explode(sequence(year(timestamp '{start}'), year(timestamp '{end}' - interval 24 hours))) AS year")
 
 
+def years_of(df: DataFrame, time: str = "acq_datetime") -> DataFrame:
+    """The years that the rows' times span with a full day."""
+    span = df.agg(F.min(time).alias("a"), F.max(time).alias("b")).where("a is not null")  # one row
+    last = F.greatest(F.year(F.col("b") - F.expr("interval 24 hours")), F.year("a"))
+    return span.select(F.explode(F.sequence(F.year("a"), last)).alias("year"))
+
+
 def read_csv(spark: SparkSession, folder: str, dataset: str, of_years: list[int]) -> DataFrame:
     """One scan over the files of all years."""
     if dataset not in DATASETS:
