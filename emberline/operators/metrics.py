@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Tasks for each of the session's shuffle partitions: examples are few bytes and much work.
+TASKS = 4
+
+
 def mean_squared_error(pairs: DataFrame, by: str) -> DataFrame:
     return pairs.groupBy(by).agg(F.avg(F.pow(F.col("y") - F.col("y_hat"), 2)).alias("mse"))
 
@@ -24,25 +28,22 @@ def triangles(points: np.ndarray) -> np.ndarray:
     lo, hi = points.min(0), points.max(0)
     mid, far = (lo + hi) / 2, max(1.0, float((hi - lo).max())) * 1e4
     p = np.vstack([points, mid + [[-far, -far], [far, -far], [0, far]]]).astype(float)
-    tri = [(n, n + 1, n + 2)]
-
-    def around(t: tuple[int, int, int]) -> bool:
-        a, b, c = p[list(t)] - p[k]
-        m = (a @ a) * (b[0] * c[1] - c[0] * b[1]) - (b @ b) * (a[0] * c[1] - c[0] * a[1]) + (c @ c) * (a[0] * b[1] - b[0] * a[1])
-        return m > 1e-9
-
-    for k in range(n):
-        bad = [t for t in tri if around(t)]
-        sides = {}
-        for a, b, c in bad:
-            for e in ((a, b), (b, c), (c, a)):
-                sides[e] = None
-        rim = [e for e in sides if (e[1], e[0]) not in sides]
-        tri = [t for t in tri if t not in set(bad)]
-        for a, b in rim:
-            if (p[b] - p[a])[0] * (p[k] - p[a])[1] - (p[b] - p[a])[1] * (p[k] - p[a])[0] > 0:
-                tri.append((a, b, k))
-    return np.array([t for t in tri if max(t) < n], int).reshape(-1, 3)
+    tri, place = np.array([(n, n + 1, n + 2)]), p.tolist()
+    for k, (y, x) in enumerate(place[:n]):
+        # all triangles at once: is the point within the circle around each
+        d = p[tri] - p[k]
+        far = (d * d).sum(axis=2)
+        (ar, ac), (br, bc), (cr, cc) = (d[:, j].T for j in range(3))
+        around = far[:, 0] * (br * cc - bc * cr) - far[:, 1] * (ar * cc - ac * cr) + far[:, 2] * (ar * bc - ac * br) > 1e-9
+        sides = {e for a, b, c in tri[around].tolist() for e in ((a, b), (b, c), (c, a))}
+        new = []
+        for a, b in sides:
+            if (b, a) not in sides:
+                (ay, ax), (by, bx) = place[a], place[b]
+                if (by - ay) * (x - ax) - (bx - ax) * (y - ay) > 0:
+                    new.append((a, b, k))
+        tri = np.concatenate((tri[~around], np.array(new, int).reshape(-1, 3)))
+    return tri[(tri < n).all(axis=1)]
 
 
 def alpha_shape(points: np.ndarray, alpha: float) -> np.ndarray:
@@ -61,10 +62,19 @@ def alpha_shape(points: np.ndarray, alpha: float) -> np.ndarray:
 def drawn(shape: np.ndarray, height: int, width: int) -> np.ndarray:
     """Cells whose centres are in a triangle; a point stands at its cell's upper corner."""
     out = np.zeros((height, width), bool)
-    r, c = np.mgrid[0:height, 0:width] + 0.5
-    for t in shape.astype(float):
-        s = [(q[0] - o[0]) * (c - o[1]) - (q[1] - o[1]) * (r - o[0]) for o, q in zip(t, np.roll(t, -1, 0))]
-        out |= (np.min(s, 0) >= 0) | (np.max(s, 0) <= 0)
+    t = shape.astype(float).reshape(-1, 3, 2)
+    lo = np.maximum(np.floor(t.min(axis=1) - 0.5).astype(int), 0)
+    size = np.maximum(np.minimum(np.ceil(t.max(axis=1) + 0.5).astype(int), (height, width)) - lo, 0)
+    count = size.prod(axis=1)
+    # the cells within the bounds of every triangle, one after the other
+    of = np.repeat(np.arange(len(t)), count)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    row, col = lo[of, 0] + k // size[of, 1], lo[of, 1] + k % size[of, 1]
+    u = t[of]
+    v = np.roll(u, -1, axis=1)
+    side = (v[:, :, 0] - u[:, :, 0]) * (col[:, None] + 0.5 - u[:, :, 1]) - (v[:, :, 1] - u[:, :, 1]) * (row[:, None] + 0.5 - u[:, :, 0])
+    held = (side >= 0).all(axis=1) | (side <= 0).all(axis=1)
+    out[row[held], col[held]] = True
     return out
 
 
@@ -111,7 +121,8 @@ def perimeter_losses(cells: DataFrame, height: int, width: int, alpha: float = 0
         return pd.DataFrame({"example_id": [key[0]], "error": [1 - float((truth & guess).sum() / union)], "weight": [int(truth.sum())]})
 
     kind = cells.schema["example_id"].dataType.simpleString()
-    return cells.select("example_id", "row", "col", *columns).groupBy("example_id").applyInPandas(loss, f"example_id {kind}, error double, weight long")
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")) * TASKS
+    return cells.select("example_id", "row", "col", *columns).repartition(tasks, "example_id").groupBy("example_id").applyInPandas(loss, f"example_id {kind}, error double, weight long")
 
 
 def total_loss(losses: DataFrame) -> DataFrame:
