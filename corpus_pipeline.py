@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline.llm.exact_dedup import exact_dedup, normalised
 from emberline.llm.lineage import cut, discard, written
@@ -34,6 +35,19 @@ def _columns(docs: DataFrame, text: Column | None = None, changed: Column | None
     return [other[c].alias(c) if c in other else F.col("row").getField(c).alias(c) for c in docs.columns]
 
 
+def _ordered(value: Column, kind: T.DataType, back: bool = False) -> Column:
+    """The value with maps as arrays of entries, at any depth, since rows with maps can't be grouped; and back."""
+    if "map<" not in kind.simpleString():
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _ordered(v, kind.elementType, back))
+    if isinstance(kind, T.StructType):
+        fields = [_ordered(value.getField(f.name), f.dataType, back).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    pair = lambda e: F.struct(_ordered(e["key"], kind.keyType, back).alias("key"), _ordered(e["value"], kind.valueType, back).alias("value"))
+    return F.map_from_entries(F.transform(value, pair)) if back else F.transform(F.map_entries(value), pair)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without lines that too many documents of their host have."""
     found = quality_rules(docs).where("kept")
@@ -68,9 +82,13 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of PASSAGE_WORDS words or more that start elsewhere too.
 
     Such passages are found by strings of PASSAGE_BYTES bytes, which so many words reach in
-    ordinary text; shorter runs stay. The other columns ride along in the id.
+    ordinary text; shorter runs stay. The other columns, of whatever types, ride along in the id.
     """
-    found = remove_repeats(docs.select(_whole(docs, "text"), "text"), id_col="row", length=PASSAGE_BYTES, min_words=PASSAGE_WORDS, characters=True)
+    kind = docs.select(_whole(docs, "text")).schema["row"].dataType
+    rows = docs.select(_ordered(_whole(docs, "text"), kind).alias("row"), "text")
+    found = remove_repeats(rows, id_col="row", length=PASSAGE_BYTES, min_words=PASSAGE_WORDS, characters=True)
+    if "map<" in kind.simpleString():
+        found = found.withColumn("row", _ordered(F.col("row"), kind, back=True))
     return found.select(*_columns(docs, F.col("kept").cast("string"), F.size("start") > 0))
 
 
