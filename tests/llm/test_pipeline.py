@@ -26,13 +26,13 @@ def quality_brute(rows):
     for k, (i, t, host) in enumerate(rows):
         lines = [tuple(WORD.findall(x.translate(FOLD))) for x in (t or "").split("\n")]
         parsed.append((i, k, host, [x for x in lines if x]))
-    bodies, n_docs = defaultdict(dict), defaultdict(int)
+    bodies, n_docs = defaultdict(dict), defaultdict(set)
     for i, k, host, lines in parsed:
-        n_docs[host] += 1
+        n_docs[host].add(tuple(lines))  # documents of one body are one
         for x in set(lines):
             known = bodies[host, x].setdefault(tuple(lines), (i, k))
             bodies[host, x][tuple(lines)] = min(known, (i, k))
-    keeper = {key: min(b.values()) for key, b in bodies.items() if len(b) > MAX_DOCS and len(b) > n_docs[key[0]] * MAX_SHARE}
+    keeper = {key: min(b.values()) for key, b in bodies.items() if len(b) > MAX_DOCS and len(b) > len(n_docs[key[0]]) * MAX_SHARE}
     out = []
     for (i, t, host), (_, k, _, lines) in zip(rows, parsed):
         n_words, _, _, _, n_repeat = base(t)
@@ -157,3 +157,19 @@ def test_clashing_names(spark, names):
     rows = docs.collect()
     assert len(rows) == 7 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
     assert cp.STAGES[-1][1](spark, docs, None).count() == 7
+
+
+def test_columns_of_any_type(spark):
+    text = lambda i: " ".join(f"{i}w{k}" for k in range(40))
+    schema = "doc_id long, text string, source string, m map<string,int>, deep array<struct<m:map<int,array<map<string,string>>>,v:double>>"
+    rows = [(i, text(i % 5), "s", {"a": i, "b": 2} if i % 2 else None, [({1: [{"x": str(i)}, {}], 2: None}, 0.5), None] if i % 3 else None) for i in range(9)]
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, None)
+        assert docs.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    left = {r.doc_id: r for r in docs.collect()}
+    assert len(left) == 5
+    for i, r in left.items():
+        _, _, _, m, deep = rows[i]
+        assert r.m == m and (r.deep is None) == (deep is None)
+        assert deep is None or (r.deep[0].m == deep[0][0] and r.deep[0].v == 0.5 and r.deep[1] is None)
