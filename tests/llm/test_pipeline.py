@@ -28,7 +28,8 @@ def quality_brute(rows):
         parsed.append((i, k, host, [x for x in lines if x]))
     bodies, n_docs = defaultdict(dict), defaultdict(set)
     for i, k, host, lines in parsed:
-        n_docs[host].add(tuple(lines))  # documents of one body are one
+        if lines:
+            n_docs[host].add(tuple(lines))  # documents of one body are one, empty ones none
         for x in set(lines):
             known = bodies[host, x].setdefault(tuple(lines), (i, k))
             bodies[host, x][tuple(lines)] = min(known, (i, k))
