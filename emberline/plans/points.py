@@ -20,6 +20,7 @@ TARGETS = [w for w in wj.standard_windows() if w[1] == "target"]
 REASON = [w for w in wj.standard_windows() if w[0] <= 2]
 HORIZON = 2
 LEGACY_LAGS = (0, 1, 2)
+SEASON = (105, 118)
 RING = [[(-123.95, 34.05), (-123.5, 34.08), (-123.55, 34.5), (-123.75, 34.3), (-123.9, 34.55)]]
 REGION = [[(-123.9, 34.1), (-123.6, 34.1), (-123.6, 34.4), (-123.9, 34.4)]]
 KM, HOURS = 2.5, 6.0
@@ -207,6 +208,15 @@ def cluster_daily_moving(spark, sf):
     return daily(spark, sf, False)
 
 
+def cluster_table(spark, sf):
+    found = clusters.cluster_table(detections(spark, sf), KM, HOURS, clusters.planar, season=SEASON, fixed_centroids=False)
+    return found.select("position", "cluster_id", "date_local", "num_det", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("avg_frp", "avg_conf", "x", "y")])
+
+
+def cluster_appended(spark, sf):
+    return clusters.cluster_table(detections(spark, sf), KM, HOURS, clusters.planar, season=SEASON, days=False).select("det_id", "cluster_id")
+
+
 def batch_slice(spark, sf):
     p = ranks.numbered(points(spark, sf).select("point_id"), [F.col("point_id")])
     return training.batch(p, 160, 320)
@@ -240,7 +250,7 @@ QUERIES = {
         st_window_join, st_window_join_drop_last, multi_window_counts, rasterize_exact, rasterize_recency, rasterize_circle, rasterize_fractional,
         all_window_cells, dated_stack, filter_min_detections, filter_land_cover, filter_reason, target_any, mask_set_counts, mask_iou, parse_acq_datetime, filter_type_date, filter_bbox,
         filter_halo, filter_points, filter_season, point_in_polygon, local_daytime, filtered_share, position_gather, cluster_days_in_order, albers_project, haversine, affine, vpd, union_years, years_in_range, search_table_rank,
-        radius_neighbors, cluster_parent, cluster_forward, cluster_daily_gapfill, cluster_daily_moving, batch_slice, limit_kept,
+        radius_neighbors, cluster_parent, cluster_forward, cluster_daily_gapfill, cluster_daily_moving, cluster_table, cluster_appended, batch_slice, limit_kept,
     )
 } | {"month_ranges": months}
 
@@ -326,3 +336,10 @@ ORACLES |= {
     "position_gather": sql("SELECT position, x, y, acq_datetime FROM (SELECT x, y, acq_datetime, CAST(row_number() OVER (ORDER BY acq_datetime, x, y, det_id) - 1 AS BIGINT) AS position FROM detections) JOIN (SELECT det_id AS position FROM detections) USING (position)", "detections"),
     "cluster_days_in_order": f"SELECT CAST(row_number() OVER (ORDER BY date_local, cluster_id) - 1 AS BIGINT) AS position, date_local, cluster_id, num_det FROM ({ORACLES['cluster_daily_gapfill']})",
 }
+
+_LOCAL = "acq_datetime + to_minutes(CAST(round(longitude/15*4) AS BIGINT)*15)"
+_SEASONAL = "WITH RECURSIVE detections AS (SELECT * FROM (" + views.SQL["detections"] + f") WHERE month({_LOCAL})*100 + day({_LOCAL}) BETWEEN {SEASON[0]} AND {SEASON[1]})"
+ORACLES |= {
+    "cluster_table": _SEASONAL + DAYS + ", found AS (" + _DAILY.format(x=_LAST.format(c="x"), y=_LAST.format(c="y")) + ") SELECT CAST(row_number() OVER (ORDER BY date_local, cluster_id) - 1 AS BIGINT) AS position, * FROM found",
+    "cluster_appended": _SEASONAL + CLUSTERS + " SELECT det_id, cluster_id FROM clusters",
+}

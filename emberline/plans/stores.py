@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from emberline.operators import rasters as ra
 from emberline.operators import rasterize, training
+from emberline.operators import regions as rg
 from emberline.operators import window_join as wj
 from emberline.operators.lineage import shared_folder
 from emberline.plans import points as pq
-from emberline.plans import views
+from emberline.plans import regions, views
 from emberline.plans.land_cover import EVT, METADATA, metadata, vegetation
 from emberline.plans.views import detections, raster_cells, sql, weather
 from emberline.sources import catalogue, chains, months
@@ -79,6 +80,15 @@ def kept_table(spark, sf):
     return sd.kept(spark, path, lambda: make().limit(0))
 
 
+def region_from_store(spark, sf):
+    """Polygons written and read, and the outlines of their regions."""
+    folder = fresh(spark, "polygons")
+    catalogue.write_polygons(regions.polygons(spark, sf), folder)
+    rings = catalogue.read_polygons(spark, folder, "region long, name string")
+    found = rg.outlines(rg.union(rg.edges(rings, "region", "polygon"), regions.BAND))
+    return found.select("region", F.round("perimeter", 3).alias("perimeter"), F.round("area", 1).alias("area"))
+
+
 def missing_to_null(spark, sf):
     return vegetation(spark, sf).withColumn("value", ra.without_missing(F.col("value")))
 
@@ -104,7 +114,7 @@ def dense_samples(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (detections_from_csv, land_cover_from_store, layer_units, artifacts_round_trip, class_metadata, weather_slice, kept_table, missing_to_null, raster_bounds, dense_samples)
+    for f in (detections_from_csv, land_cover_from_store, layer_units, artifacts_round_trip, class_metadata, weather_slice, kept_table, region_from_store, missing_to_null, raster_bounds, dense_samples)
 }
 
 _VEG = f"SELECT CAST(floor(p_partkey/40) AS INT) AS row, CAST(p_partkey%40 AS INT) AS col, {EVT} AS value FROM part"
@@ -119,6 +129,7 @@ ORACLES = {
     "class_metadata": f"SELECT VALUE, EVT_LF FROM ({METADATA})",
     "weather_slice": sql("SELECT time, wrow, wcol, temperature FROM weather WHERE time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12 06:00:00'", "detections", "weather"),
     "kept_table": sql("SELECT det_id, type FROM detections WHERE type < 2 AND acq_datetime >= TIMESTAMP '2024-01-05' AND acq_datetime < TIMESTAMP '2024-01-20'", "detections"),
+    "region_from_store": regions.ORACLES["region_outlines"],
     "missing_to_null": f"SELECT row, col, CASE WHEN value NOT IN (-32768, -9999) THEN value END AS value FROM ({_VEG})",
     "raster_bounds": sql("SELECT count(*) AS cells, 0.0::DOUBLE AS west, 60000.0::DOUBLE - (max(row) + 1)*1500 AS south, 60000.0::DOUBLE AS east, 60000.0::DOUBLE AS north FROM raster_cells", "raster_cells"),
     "dense_samples": sql(f""", hits AS (SELECT DISTINCT p.point_id, (CASE w.layer WHEN 8 THEN 2 ELSE w.layer END*{SIDE} + CAST(floor({SIDE} - (d.y - p.y + 11250)/{WIDE}) AS INT))*{SIDE} + CAST(floor((d.x - p.x + 11250)/{WIDE}) AS INT) AS k

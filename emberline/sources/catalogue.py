@@ -36,6 +36,17 @@ def read_classes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema("OID_ int, VALUE int, EVT_LF string").csv(path).drop("OID_")
 
 
+def write_polygons(polygons: DataFrame, path: str) -> None:
+    """Polygons as lines of JSON, each ring a list of [x, y]."""
+    polygons.withColumn("ring", F.transform("ring", lambda p: F.array(p["x"].cast("double"), p["y"].cast("double")))).write.mode("overwrite").json(path)
+
+
+def read_polygons(spark: SparkSession, path: str, columns: str = "name string") -> DataFrame:
+    """``polygon, part, ring`` and the columns to choose by, from lines of JSON; positions beyond x and y are dropped."""
+    rows = spark.read.schema(f"polygon long, part int, {columns}, ring array<array<double>>").json(path)
+    return rows.withColumn("ring", F.transform("ring", lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+
+
 def units(found: DataFrame, wanted: DataFrame) -> DataFrame:
     """``name, units`` of the wanted layers; "none" for those that aren't found."""
     return wanted.select("name").join(found.groupBy("name").agg(F.min("units").alias("units")), "name", "left").na.fill("none", ["units"])

@@ -176,3 +176,10 @@ def test_years_and_months_of_rows(spark):
     assert months.month_ranges(rows.limit(0), "t").count() == 0 and sd.years_of(rows.limit(0), "t").count() == 0
     more = rows.unionByName(spark.createDataFrame([(dt.datetime(2014, 1, 1, 5),)], "t timestamp_ntz"))
     assert sorted(r.year for r in sd.years_of(more, "t").collect()) == [2012, 2013]
+
+
+def test_polygons_come_back(spark, tmp_path):
+    schema = "polygon long, part int, name string, ring array<struct<x:double,y:double>>"
+    rows = [(1, 0, "a", [(0.0, 0.5), (1.25, 0.0), (1.0, 1.0)]), (2, 1, None, [])]
+    catalogue.write_polygons(spark.createDataFrame(rows, schema), str(tmp_path / "p"))
+    assert sorted((r.polygon, r.part, r.name, [tuple(p) for p in r.ring]) for r in catalogue.read_polygons(spark, str(tmp_path / "p")).collect()) == rows
