@@ -146,6 +146,7 @@ def crop_around(points: DataFrame, grid: Affine, width: float, resolution: float
     """
     cells, rate = width / grid.a, int(grid.a / resolution)
     size, half = int(cells * rate), math.ceil(cells / 2)
+    # Fixed rule that results depend on: an odd number of coarse cells, cut off or rounded, reaches one further.
     behind = half - 1 + any(n % 2 for n in (int(cells), round(cells)))
 
     def met(place: Column) -> Column:

@@ -143,7 +143,7 @@ def weather_zero_mask(spark, sf):
 
 def weather_pivot(spark, sf):
     w = weather(spark, sf).selectExpr("time", "wrow AS row", "wcol AS col", "stack(2, 'Temperature', temperature, 'Wind speed (gust)', wind_u) AS (layer, value)")
-    return we.pivoted(w, ["Temperature", "Wind speed (gust)"])
+    return we.pivoted(w, ["temperature", "wind_speed_gust"])
 
 
 def layer_first_match(spark, sf):

@@ -15,7 +15,7 @@ from emberline.plans import points as pq
 from emberline.plans import regions, views
 from emberline.plans.land_cover import EVT, METADATA, metadata, vegetation
 from emberline.plans.views import detections, raster_cells, sql, weather
-from emberline.sources import catalogue, chains, months
+from emberline.sources import catalogue, chains, hourly, months
 from emberline.sources import detections as sd
 
 #: Layers and width of the dense samples: the detections now, half a day ago, and a day on, in wide cells.
@@ -72,6 +72,13 @@ def weather_slice(spark, sf):
     return catalogue.read_weather(spark, folder, "2024-01-10 00:00:00", "2024-01-12 06:00:00", ["temperature"])
 
 
+def weather_hours_by_path(spark, sf):
+    """The weather as a file for each hour, read by path, with hours that have none."""
+    folder = fresh(spark, "hours")
+    hourly.write_hours(weather(spark, sf).drop("precipitation_rate"), folder).count()
+    return hourly.read_hours(spark, folder, "2024-01-01 00:00", "2024-02-01 00:00", ["temperature", "wind_u"], hours=24)
+
+
 def kept_table(spark, sf):
     """A table that is made once under a path which tells its parameters, and then read."""
     path = sd.table_path(fresh(spark, "kept"), "filtered", start="2024-01-05", end="2024-01-20", types=[0, 1])
@@ -114,7 +121,7 @@ def dense_samples(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (detections_from_csv, land_cover_from_store, layer_units, artifacts_round_trip, class_metadata, weather_slice, kept_table, region_from_store, missing_to_null, raster_bounds, dense_samples)
+    for f in (detections_from_csv, land_cover_from_store, layer_units, artifacts_round_trip, class_metadata, weather_slice, weather_hours_by_path, kept_table, region_from_store, missing_to_null, raster_bounds, dense_samples)
 }
 
 _VEG = f"SELECT CAST(floor(p_partkey/40) AS INT) AS row, CAST(p_partkey%40 AS INT) AS col, {EVT} AS value FROM part"
@@ -128,6 +135,7 @@ ORACLES = {
         FROM detections WHERE type < 4 AND acq_datetime >= TIMESTAMP '2024-01-05' - INTERVAL 63 HOUR AND acq_datetime < TIMESTAMP '2024-01-20' + INTERVAL 123 HOUR""", "detections"),
     "class_metadata": f"SELECT VALUE, EVT_LF FROM ({METADATA})",
     "weather_slice": sql("SELECT time, wrow, wcol, temperature FROM weather WHERE time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12 06:00:00'", "detections", "weather"),
+    "weather_hours_by_path": sql("SELECT h.time, w.wrow, w.wcol, w.temperature, w.wind_u, w.time IS NULL AS missing FROM (SELECT unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR)) AS time) h LEFT JOIN weather w ON w.time = h.time", "detections", "weather"),
     "kept_table": sql("SELECT det_id, type FROM detections WHERE type < 2 AND acq_datetime >= TIMESTAMP '2024-01-05' AND acq_datetime < TIMESTAMP '2024-01-20'", "detections"),
     "region_from_store": regions.ORACLES["region_outlines"],
     "missing_to_null": f"SELECT row, col, CASE WHEN value NOT IN (-32768, -9999) THEN value END AS value FROM ({_VEG})",

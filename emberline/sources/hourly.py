@@ -1,8 +1,8 @@
-"""Hourly weather files as a Spark data source: a partition for each hour, read by its path.
+"""Hourly weather files as a Spark data source: a partition for each hour, read by its path; and their writer.
 
 ``spark.read.format("hourly_weather")`` with the options ``path`` (folder), ``first`` and
 ``last`` (half-open, as ``yyyy-MM-dd HH:mm``), ``variables`` (names, comma between) and,
-if need be, ``offset``. An hour's file is found by its time alone; nothing is listed. An
+if need be, ``offset`` and ``hours`` (so many hours a partition, 1 otherwise). An hour's file is found by its time alone; nothing is listed. An
 hour whose file is absent, broken, or without a variable asked for is one row with
 ``missing``. Bounds on ``time`` are pushed to the list of hours, so hours beyond them are
 not opened.
@@ -11,6 +11,7 @@ not opened.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -26,14 +27,13 @@ def hour_path(folder: str, time: dt.datetime, offset: int = 0) -> str:
     return f"{folder.rstrip('/')}/{time:%Y}/{time:%Y%m}/{time:%Y%m%d}/weather_{time:%Y%m%d}_{time:%H}00_{offset:03}.parquet"
 
 
-class Hour(ds.InputPartition):
-    def __init__(self, time: dt.datetime):
-        super().__init__(time)
+class Hours(ds.InputPartition):
+    """The hours (``value``, a list) that one task reads."""
 
 
 class HourlyReader(ds.DataSourceReader):
     def __init__(self, options: dict, schema):
-        self.folder, self.offset = options["path"], int(options.get("offset", "0"))
+        self.folder, self.offset, self.hours = options["path"], int(options.get("offset", "0")), int(options.get("hours", "1"))
         self.first, self.last = (dt.datetime.strptime(options[n], TIME) for n in ("first", "last"))
         self.names = [f.name for f in schema.fields if f.name not in ("time", "missing")]
 
@@ -52,24 +52,23 @@ class HourlyReader(ds.DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[Hour]:
+    def partitions(self) -> list[Hours]:
         first = _hour(self.first) if self.first == _hour(self.first) else _hour(self.first) + HOUR
-        return [Hour(first + k * HOUR) for k in range(max(0, -(-(self.last - first) // HOUR)))] or [Hour(None)]
+        times = [first + k * HOUR for k in range(max(0, -(-(self.last - first) // HOUR)))]
+        return [Hours(times[k : k + self.hours]) for k in range(0, len(times), self.hours)] or [Hours([])]
 
-    def read(self, partition: Hour) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Hours) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs, parquet
 
-        time = partition.value
-        if time is None:
-            return
-        path = hour_path(self.folder, time, self.offset)
-        try:
-            where, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-            table = parquet.read_table(inner, columns=self.names, filesystem=where, partitioning=None)
-            cells = [table.column(n).cast(_kind(n)).combine_chunks() for n in self.names]
-            yield self._rows(time, cells, table.num_rows, False)
-        except (OSError, pa.ArrowException, KeyError):
-            yield self._rows(time, [pa.nulls(1, _kind(n)) for n in self.names], 1, True)
+        for time in partition.value:
+            path = hour_path(self.folder, time, self.offset)
+            try:
+                where, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+                table = parquet.read_table(inner, columns=self.names, filesystem=where, partitioning=None, use_threads=False)
+                cells = [table.column(n).cast(_kind(n)).combine_chunks() for n in self.names]
+                yield self._rows(time, cells, table.num_rows, False)
+            except (OSError, pa.ArrowException, KeyError):
+                yield self._rows(time, [pa.nulls(1, _kind(n)) for n in self.names], 1, True)
 
     def _rows(self, time, cells, n, missing) -> pa.RecordBatch:
         cells = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cells]
@@ -97,8 +96,27 @@ class HourlyWeather(ds.DataSource):
         return HourlyReader(self.options, schema)
 
 
-def read_hours(spark: SparkSession, folder: str, first: str, last: str, variables: list[str], offset: int = 0) -> DataFrame:
-    """``time, wrow, wcol, variables, missing`` of all hours from first to before last."""
+def write_hours(weather: DataFrame, folder: str, offset: int = 0) -> DataFrame:
+    """Writes each hour (``time, wrow, wcol`` and variables) as the file of its path; ``time, cells`` of the files, which
+    are written as these rows are asked for. A file is complete once it has its name."""
+
+    def put(table: pa.Table) -> pa.Table:
+        from pyarrow import fs, parquet
+
+        time = table["time"][0].as_py()
+        path = hour_path(folder, time, offset)
+        where, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        where.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        part = f"{inner}.{uuid.uuid4().hex}"
+        parquet.write_table(table.drop_columns(["time"]), part, filesystem=where)
+        where.move(part, inner)
+        return pa.table({"time": table["time"][:1], "cells": [table.num_rows]})
+
+    return weather.groupBy("time").applyInArrow(put, "time timestamp_ntz, cells long")
+
+
+def read_hours(spark: SparkSession, folder: str, first: str, last: str, variables: list[str], offset: int = 0, hours: int = 1) -> DataFrame:
+    """``time, wrow, wcol, variables, missing`` of all hours from first to before last; a task reads ``hours`` of them."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(HourlyWeather)
-    return spark.read.format("hourly_weather").options(path=folder, first=first, last=last, variables=",".join(variables), offset=offset).load()
+    return spark.read.format("hourly_weather").options(path=folder, first=first, last=last, variables=",".join(variables), offset=offset, hours=hours).load()

@@ -48,16 +48,26 @@ def test_absent_and_broken_hours_are_missing(spark, folder):
     assert rows.where("wind_u is null and not missing").count() == 4 and rows.schema["time"].dataType.simpleString() == "timestamp_ntz"
 
 
+def test_written_hours_come_back(spark, tmp_path):
+    rows = [(T0 + k * HOUR, 0, c, float(k), None if c else 1.0) for k in (0, 2, 3) for c in range(2)]
+    made = hourly.write_hours(spark.createDataFrame(rows, "time timestamp_ntz, wrow int, wcol int, temperature double, wind_u double"), f"file://{tmp_path}")
+    assert sorted((r.time, r.cells) for r in made.collect()) == [(T0 + k * HOUR, 2) for k in (0, 2, 3)]
+    found = hourly.read_hours(spark, f"file://{tmp_path}", "2024-01-31 20:00", "2024-02-01 01:00", NAMES, hours=3)
+    assert found.rdd.getNumPartitions() == 2
+    want = [(*r, False) for r in rows] + [(T0 + k * HOUR, None, None, None, None, True) for k in (1, 4)]
+    assert sorted((tuple(r) for r in found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_times_are_pushed_to_the_list_of_hours(spark, folder):
     reader = hourly.HourlyReader({"path": str(folder), "first": "2024-01-01 00:00", "last": "2025-01-01 00:00"}, hourly.HourlyWeather({"variables": "a"}).schema() and spark.createDataFrame([], "time timestamp_ntz, a double, missing boolean").schema)
     ds = hourly.ds
     other = ds.EqualTo(("wrow",), 1)
     left = list(reader.pushFilters([ds.GreaterThanOrEqual(("time",), T0), ds.LessThan(("time",), T0 + 2.5 * HOUR), ds.IsNotNull(("time",)), other]))
-    assert left == [ds.IsNotNull(("time",)), other] and [p.value for p in reader.partitions()] == [T0, T0 + HOUR, T0 + 2 * HOUR]
+    assert left == [ds.IsNotNull(("time",)), other] and [p.value for p in reader.partitions()] == [[T0], [T0 + HOUR], [T0 + 2 * HOUR]]
     list(reader.pushFilters([ds.GreaterThan(("time",), T0), ds.LessThanOrEqual(("time",), T0 + HOUR)]))
-    assert [p.value for p in reader.partitions()] == [T0 + HOUR]
+    assert [p.value for p in reader.partitions()] == [[T0 + HOUR]]
     list(reader.pushFilters([ds.EqualTo(("time",), T0 + 9 * HOUR)]))
-    assert [p.value for p in reader.partitions()] == [None]
+    assert [p.value for p in reader.partitions()] == [[]]
     rows = hourly.read_hours(spark, str(folder), "2024-01-01 00:00", "2024-03-01 00:00", NAMES).where((F.col("time") >= F.lit(T0).cast("timestamp_ntz")) & (F.col("time") < F.lit(T0 + 2 * HOUR).cast("timestamp_ntz")))
     assert rows.rdd.getNumPartitions() == 2 and rows.count() == 4
     assert rows.where("time > timestamp_ntz'2024-05-01 00:00:00'").count() == 0
