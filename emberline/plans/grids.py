@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from emberline.functions import tables
 from emberline.functions.geo import Affine
-from emberline.operators import metrics, ranks, rasterize, reasons, training
+from emberline.operators import metrics, rasterize, training
 from emberline.operators import rasters as ra
 from emberline.operators import weather as we
 from emberline.operators import window_join as wj
