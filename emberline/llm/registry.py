@@ -23,7 +23,5 @@ QUERIES = {
 ORACLES = {
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op8_warc": warc.ORACLE,
-    "op11_page_text": page_text.op11_page_text,
-    "op12_whitening": whitening.op12_whitening,
     "op13_collocations": collocations.ORACLE,
 }
