@@ -175,6 +175,24 @@ def test_clusters_equal_a_walk(spark):
     assert got == walk(rows, 5, 6)
 
 
+@pytest.mark.parametrize("pairs", [1 << 19, 7])
+def test_pairs_of_clusters_are_whole_and_not_sent_through_the_driver(spark, monkeypatch, pairs):
+    monkeypatch.setattr(clusters, "PAIRS", pairs)
+    rng = random.Random(4)
+    rows = [(i, T0 + rng.randrange(-40, 40) * HOUR, rng.randrange(-15, 15) * 1000.0, rng.randrange(-15, 15) * 1000.0, 0.0, 0.0) for i in rng.sample(range(1000), 300)]
+    rows += [(2000, None, 0.0, 0.0, 0.0, 0.0), (2001, T0, None, 0.0, 0.0, 0.0)]
+    d = spark.createDataFrame(rows, DETECTION + ", latitude double, longitude double")
+    near = clusters.neighbours(d, 5, 6, clusters.planar)
+    held = rows[:-2]
+    want = sorted((a[0], b[0]) for a in held for b in held if a[0] != b[0] and b[1] <= a[1] < b[1] + 6 * HOUR and math.hypot(a[2] - b[2], a[3] - b[3]) <= 5000)
+    assert sorted((r.det_id, r.other_id) for r in near.collect()) == want and len(want) > 300
+    best = {i: min(((a[1] - b[1]).total_seconds(), math.hypot(a[2] - b[2], a[3] - b[3]) / 1000, b[0]) for a in held if a[0] == i for b in held if b[0] < i and (i, b[0]) in set(want))[2] for i in {i for i, j in want if j < i}}
+    found = clusters.parents(d, 5, 6, clusters.planar)
+    assert {r.det_id: r.parent for r in found.collect()} == {r[0]: best.get(r[0]) for r in rows}
+    for df in (near, found):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_calendar_gap(spark):
     d = spark.createDataFrame([(1, T0, 0.0, 0.0, 0.0, 2.0, 50), (2, T0 + 72 * HOUR, 6.0, 0.0, 0.0, 4.0, 70)], DETECTION + ", longitude double, frp double, conf int")
     ids = spark.createDataFrame([(1, 0), (2, 0)], "det_id long, cluster_id long")
