@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +54,20 @@ def dense(cells: DataFrame, layers: int, width: int, value: Column | None = None
     size = layers * width * width
     at = ((F.col("layer") * width + F.col("row")) * width + F.col("col")).alias("k")
     held = cells.select("point_id", at, (value if value is not None else F.lit(1.0)).cast("float").alias("v"))
-    maps = held.groupBy("point_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
-    get = lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0).cast("float"))
-    return maps.select("point_id", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), get).alias("tensor"))
+    lists = held.where("k is not null").groupBy("point_id").agg(F.collect_list("k").alias("k"), F.collect_list(F.coalesce("v", F.lit(0.0).cast("float"))).alias("v"))
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(1, (1 << 22) // size)
+        for whole in batches:
+            for first in range(0, whole.num_rows, rows):
+                batch = whole.slice(first, rows)
+                n, k = batch.num_rows, batch.column("k")
+                out = np.zeros((n, size), np.float32)
+                out[np.repeat(np.arange(n), np.diff(k.offsets.to_numpy())), k.flatten().to_numpy()] = batch.column("v").flatten().to_numpy()
+                tensor = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * size), pa.array(out.ravel()))
+                yield pa.record_batch([batch.column("point_id"), tensor], names=["point_id", "tensor"])
+
+    return lists.mapInArrow(filled, f"point_id {cells.schema['point_id'].dataType.simpleString()}, tensor array<float>")
 
 
 def split_tensor(rows: DataFrame, layers: int, observed: int, width: int) -> DataFrame:

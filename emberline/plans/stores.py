@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from emberline.operators import rasters as ra
-from emberline.operators import rasterize, training
+from emberline.operators import training
 from emberline.operators import regions as rg
+from emberline.operators import window_cells as wc
 from emberline.operators import window_join as wj
 from emberline.operators.lineage import shared_folder
 from emberline.plans import points as pq
@@ -110,7 +111,8 @@ def raster_bounds(spark, sf):
 
 def dense_samples(spark, sf):
     """Dense tensors of each point, written and read, cut into observed and target layers."""
-    cells = rasterize.exact(pq.matches(spark, sf, DENSE), WIDE)
+    p = views.points(spark, sf)
+    cells = wc.rasterized(p, wj.halo(p, views.detections(spark, sf), DENSE), DENSE, cell=WIDE)
     place = F.element_at(F.create_map(*[F.lit(v) for k, w in enumerate(DENSE) for v in (w[0], k)]), F.col("layer"))
     folder = fresh(spark, "dense")
     training.dense(cells.withColumn("layer", place), len(DENSE), SIDE).write.parquet(folder)

@@ -80,3 +80,27 @@ def test_running_means_over_gaps(spark):
                 one = [h[k] for h in some if h[k] is not None]
                 want = sum(one) / len(one) if one else 0.0
                 assert v == pytest.approx(want, abs=1e-9, nan_ok=True)
+
+
+@pytest.mark.parametrize("method", ["exact", "date", "circle", "fractional"])
+@pytest.mark.parametrize("like", [1, 5])
+def test_rasterized_equals_the_join_where_points_share_full_cells(spark, monkeypatch, method, like):
+    monkeypatch.setattr(wc, "LIKE", like)
+    monkeypatch.setattr(wc, "STEP", 60)
+    rng = random.Random(12)
+    windows, place = [(3, "a", -100, -2), (5, "b", -6, 6)], lambda: rng.choice([rng.uniform(0, 2e4), 1125.0 * rng.randrange(18)])
+    p = spark.createDataFrame([(i, T0 + rng.uniform(0, 2) * HOUR, place(), place()) for i in range(80)], POINT)
+    d = spark.createDataFrame([(i, T0 + rng.choice([rng.uniform(-110, 12), -2, 6]) * HOUR, place(), place()) for i in range(4000)], DETECTION)
+    got = wc.rasterized(p, d, windows, method, 22500, 2250)
+    want = rasterize.rasterize(wj.window_join(p, d, windows), method, cell=2250, **({"radius": 2250} if method in ("circle", "fractional") else {}))
+    assert got.dtypes == want.dtypes
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_dense_tensors_of_many_cells(spark):
+    from emberline.operators import training
+
+    cells = spark.createDataFrame([(i, k % 3, k // 3 % 4, k // 12) for i in range(5) for k in range(0, 36, i + 1)], "point_id long, layer int, row int, col int")
+    for r in training.dense(cells, 3, 4).collect():
+        held = {(k % 3) * 16 + (k // 3 % 4) * 4 + k // 12 for k in range(0, 36, r.point_id + 1)}
+        assert r.tensor == [float(n in held) for n in range(48)]
