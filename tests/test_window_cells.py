@@ -117,3 +117,15 @@ def test_grids_hold_the_cells(spark):
     assert sorted(got) == want and len(want) > 500
     with pytest.raises(ValueError):
         wc.window_grids(p, d, [(k, "w", 0, 1) for k in range(9)])
+
+
+def test_layers_of_cells_without_an_array_for_each(spark, capsys):
+    windows = wj.standard_windows()
+    rng = random.Random(2)
+    rows = [(k, k % 60, k % 7, rng.randrange(1 << len(windows))) for k in range(200)] + [(200, 0, 0, 0)]
+    found = wc.by_layer(spark.createDataFrame(rows, "point_id long, row int, col int, windows long"), windows)
+    want = sorted((p, w[0], r, c) for p, r, c, bits in rows for k, w in enumerate(windows) if bits >> k & 1)
+    assert sorted(map(tuple, found.collect())) == want
+    capsys.readouterr()
+    found.explain()
+    assert "lambda" not in capsys.readouterr().out
