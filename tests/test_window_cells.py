@@ -129,3 +129,17 @@ def test_layers_of_cells_without_an_array_for_each(spark, capsys):
     capsys.readouterr()
     found.explain()
     assert "lambda" not in capsys.readouterr().out
+
+
+def test_pairs_of_the_window_join_come_from_a_shuffle(spark, capsys):
+    rng = random.Random(9)
+    at = lambda: T0 + dt.timedelta(minutes=15 * rng.randrange(200))
+    p = [(k, at(), 125.0 * rng.randrange(80), 125.0 * rng.randrange(80)) for k in range(60)]  # some on the square's and the grid's edges
+    d = [(k, at(), 125.0 * rng.randrange(80), 125.0 * rng.randrange(80)) for k in range(300)]
+    windows = [(0, "a", -3, 3), (1, "b", 1, 2), (2, "c", -40, -20)]
+    found = wj.window_join(spark.createDataFrame(p, POINT), spark.createDataFrame(d, DETECTION), windows, 4000)
+    want = sorted((i, w[0], j) for i, t, x, y in p for j, u, a, b in d for w in windows if t + w[2] * HOUR <= u < t + w[3] * HOUR and abs(a - x) <= 2000 and abs(b - y) <= 2000)
+    assert sorted((r.point_id, r.layer, r.det_id) for r in found.collect()) == want and len(want) > 300
+    capsys.readouterr()
+    found.explain()
+    assert "SortMergeJoin" in capsys.readouterr().out
