@@ -1,12 +1,16 @@
 """Language-model scoring with Brown class-based bigrams.
 
-Frequent words are units of their own; all other words belong to one of TAILS tail units
-by their last two bytes. Exchange clustering assigns units to classes so that the average
-mutual information of adjacent classes grows. A text's probability is a product of class
-transitions, unit emissions and, within a tail unit, word emissions, each smoothed.
-
-Counts of all words stay in a table. Only what a share of the corpus bounds is sent to
-the executors: a word with at least 1/n of all tokens is one of at most n words.
+Exchange clustering assigns words to classes so that the average mutual information of
+adjacent classes grows. Frequent words come first, each a unit of its own; meanwhile all
+others are in TAILS tail units by their last two bytes. Then every far word, one that has
+LEAST occurrences or more and is no unit, moves from its tail's class to the best one by its
+own counts with the classes around it. Words with fewer stay in their tail, which tells what
+is to be expected of words never seen. A text's probability is a product of class
+transitions, emissions within classes and, within a tail, word emissions, each smoothed.
+
+Counts, neighbours and classes of far words stay in tables, which are joined to the tokens.
+Only what a share of the corpus bounds is sent to the executors: a word with at least 1/n of
+all tokens is one of at most n words.
 """
 
 from __future__ import annotations
@@ -24,12 +28,22 @@ from emberline.llm.lineage import written
 
 CLASSES, ROUNDS = 64, 6
 TAILS = 32
-#: Words with at least one of so many tokens are units, and words whose counts are at hand.
-UNIT_SHARE, KNOWN_SHARE = 50_000, 500_000
+#: Turns in which half of the far words may move.
+FAR_ROUNDS = 2
+#: Words of so many occurrences have a class of their own, however large the corpus.
+LEAST = 2
+#: Words with at least one of so many tokens are units, whose counts and classes are at hand.
+UNIT_SHARE = 200_000
 #: Weight of the class unigram in a transition.
 PRIOR = 4.0
 #: Distinct keys that a task gathers before it passes them on.
 HELD = 2_000_000
+#: Cells of units by classes that a task holds as an array.
+DENSE = 1 << 23
+#: Words whose moves are sought at once.
+CHUNK = 250
+#: The place of a far word: SIDE * (1 + class before) + 1 + class after, 0 where there is a far neighbour; or that it follows itself; or its class, added to HOME.
+SIDE, SELF, HOME = 256, 1 << 16, 1 << 17
 U = tb.U
 
 
@@ -165,20 +179,36 @@ def class_matrix(pairs: DataFrame, classes: np.ndarray, units: int) -> np.ndarra
 def proposed(pairs: DataFrame, classes: np.ndarray, units: int, matrix: np.ndarray, turn: int, turns: int):
     """(unit, class, gain) of the units whose turn it is; at most as many rows as units."""
 
+    width = 2 * CLASSES + 1
+
+    def summed(held):
+        i, j, n = (np.concatenate(c) for c in zip(*held))
+        places = [(i * width + classes[j])[i % turns == turn], (j * width + CLASSES + classes[i])[j % turns == turn], (i * width + 2 * CLASSES)[(i == j) & (i % turns == turn)]]
+        counts = [n[i % turns == turn], n[j % turns == turn], n[(i == j) & (i % turns == turn)]]
+        if units * width <= DENSE:
+            total = np.zeros(units * width)
+            for p, q in zip(places, counts):
+                total += np.bincount(p, weights=q, minlength=len(total))
+            place = np.flatnonzero(total)
+            total = total[place].astype(np.int64)
+        else:
+            place, at = np.unique(np.concatenate(places), return_inverse=True)
+            total = np.bincount(at, weights=np.concatenate(counts), minlength=len(place)).astype(np.int64)
+        for a in range(0, len(place), 200_000):
+            p = place[a : a + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(p // width), pa.array(p % width), pa.array(total[a : a + 200_000])], names=["unit", "slot", "n"])
+
     def contexts(batches):
-        right, left, own = np.zeros(units * CLASSES), np.zeros(units * CLASSES), np.zeros(units)
+        held, rows = [], 0
         for b in batches:
             key, n = np.asarray(b.column("key")), np.asarray(b.column("n"))
-            i, j = key // units, key % units
-            right += np.bincount(i * CLASSES + classes[j], weights=n, minlength=len(right))
-            left += np.bincount(j * CLASSES + classes[i], weights=n, minlength=len(left))
-            own += np.bincount(i[i == j], weights=n[i == j], minlength=units)
-        wide = np.concatenate((right.reshape(units, CLASSES), left.reshape(units, CLASSES), own[:, None]), axis=1)
-        wide[np.arange(units) % turns != turn] = 0
-        unit, slot = np.nonzero(wide)
-        for a in range(0, len(unit), 200_000):
-            u, s = unit[a : a + 200_000], slot[a : a + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(s), pa.array(wide[u, s].astype(np.int64))], names=["unit", "slot", "n"])
+            held.append((key // units, key % units, n))
+            rows += len(n)
+            if rows > HELD:
+                yield from summed(held)
+                held, rows = [], 0
+        if held:
+            yield from summed(held)
 
     def moves(batches):
         parts = [tuple(np.asarray(b.column(c)) for c in ("unit", "slot", "n")) for b in batches]
@@ -186,9 +216,13 @@ def proposed(pairs: DataFrame, classes: np.ndarray, units: int, matrix: np.ndarr
             return
         unit, slot, n = (np.concatenate(c) for c in zip(*parts))
         which, at = np.unique(unit, return_inverse=True)
-        width = 2 * CLASSES + 1
         wide = np.bincount(at * width + slot, weights=n, minlength=len(which) * width).reshape(-1, width)
-        best, gain = best_moves(matrix, classes[which], wide[:, :CLASSES], wide[:, CLASSES:-1], wide[:, -1])
+        best, gain = np.empty(len(which), np.int64), np.empty(len(which))
+        for a in range(0, len(which), CHUNK):
+            home = classes[which[a : a + CHUNK]]
+            change = far_moves(matrix, home, wide[a : a + CHUNK])
+            best[a : a + CHUNK] = change.argmax(1)
+            gain[a : a + CHUNK] = change.max(1) - change[np.arange(len(home)), home]
         yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(best), pa.array(gain)], names=["unit", "class", "gain"])
 
     rows = pairs.mapInArrow(contexts, "unit long, slot long, n long").repartition("unit").mapInArrow(moves, "unit long, class long, gain double")
@@ -214,16 +248,161 @@ def exchange(pairs: DataFrame, weight: np.ndarray, rounds: int = ROUNDS) -> tupl
     return best
 
 
+def far_moves(matrix: np.ndarray, home: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """For each word and class what the objective gains if the word, taken out, joins the class.
+
+    As ``best_moves``, but only cells that a word's counts change are looked at. wide: a
+    row for each word, its counts with the classes after and before it and with itself.
+    """
+    n, c = len(home), len(matrix)
+    right, left, own = wide[:, :c], wide[:, c : 2 * c], wide[:, 2 * c]
+    each = np.arange(n)
+    r, l = right.copy(), left.copy()  # noqa: E741
+    r[each, home] -= own
+    l[each, home] -= own
+    out, into = r.sum(1) + own, l.sum(1) + own
+    rows, cols = np.tile(matrix.sum(1), (n, 1)), np.tile(matrix.sum(0), (n, 1))
+    rows[each, home] -= out
+    cols[each, home] -= into
+    d = np.tile(np.diagonal(matrix), (n, 1))
+    d[each, home] -= right[each, home] + left[each, home] - own
+    change = xlogx(d + r + l + own[:, None]) - xlogx(d) - xlogx(rows + out[:, None]) + xlogx(rows) - xlogx(cols + into[:, None]) + xlogx(cols)
+    for m, some, others, mine in ((matrix.T, r, left, right), (matrix, l, right, left)):
+        w, j = np.nonzero(some)
+        if not len(w):
+            continue
+        cell, at = m[j], np.arange(len(w))
+        cell[at, home[w]] -= mine[w, j]
+        same = np.flatnonzero(home[w] == j)
+        cell[same] -= others[w[same]]
+        cell[same, j[same]] += own[w[same]]
+        more = xlogx(cell + some[w, j][:, None]) - xlogx(cell)
+        more[at, j] = 0  # the diagonal, which is counted above
+        first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+        change[w[first]] += np.add.reduceat(more, first, axis=0)
+    return change
+
+
+def _moved(matrix: np.ndarray, tails: np.ndarray, turn: int):
+    """Rows (w, place, n) in order of w to a row for each far word, and one for each cell of its counts with units.
+
+    A word's row has its class now and, if it is its turn, the best one; a cell's row, whose key is null, is
+    for the class before and after, ``home`` being the cell of the former classes.
+    """
+    width = 2 * CLASSES + 1
+
+    def solve(word, place, n):
+        which, at = np.unique(word, return_inverse=True)
+        home = tails[which & (TAILS - 1)]
+        told = place >= HOME
+        home[at[told]] = place[told] - HOME
+        usual = place < SELF
+        before, after = np.where(usual, place // SIDE - 1, -1), np.where(usual, place % SIDE - 1, -1)
+        after_home, before_home = after >= CLASSES, before >= CLASSES  # a far neighbour's class, which is none of the cells
+        right, left = after % CLASSES, before % CLASSES
+        best = np.empty(len(which), np.int64)
+        total = np.empty(len(which), np.int64)
+        edge = np.append(np.arange(0, len(which), CHUNK), len(which))
+        for a, b in zip(edge[:-1], edge[1:]):
+            lo, hi = np.searchsorted(at, [a, b])
+            i, k = at[lo:hi] - a, n[lo:hi]
+            p = [(i * width + right[lo:hi])[after[lo:hi] >= 0], (i * width + CLASSES + left[lo:hi])[before[lo:hi] >= 0], (i * width + 2 * CLASSES)[place[lo:hi] == SELF]]
+            q = [k[after[lo:hi] >= 0], k[before[lo:hi] >= 0], k[place[lo:hi] == SELF]]
+            wide = np.bincount(np.concatenate(p), weights=np.concatenate(q), minlength=(b - a) * width).reshape(b - a, width)
+            change = far_moves(matrix, home[a:b], wide)
+            change[:, 0] = -np.inf  # the end's own
+            # of equal ones the class it has
+            change[np.arange(b - a), home[a:b]] += 1e-9
+            best[a:b] = change.argmax(1)
+            total[a:b] = np.rint(wide[:, :CLASSES].sum(1))
+        best = np.where((total < LEAST) | ((which // TAILS) % 2 != turn), home, best)
+        cells = []
+        for of in (home, best):
+            c = of[at]
+            x, y = (after >= 0) & ~after_home, (before >= 0) & ~before_home
+            cell = np.concatenate(((c * CLASSES + right)[x], (left * CLASSES + c)[y]))
+            cells.append(np.bincount(cell, weights=np.concatenate((n[x], n[y])), minlength=CLASSES**2))
+        return which, home, best, total, cells
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "home", "class", "n"]
+        cells = [np.zeros(CLASSES**2), np.zeros(CLASSES**2)]
+        held, rows = [], 0
+
+        def ready(last):
+            word, place, n = (np.concatenate(c) for c in zip(*held))
+            end = len(word) if last else int(np.searchsorted(word, word[-1]))
+            return (word[:end], place[:end], n[:end]), [(word[end:], place[end:], n[end:])]
+
+        def emit(part):
+            which, home, best, total, more = solve(*part)
+            for c, m in zip(cells, more):
+                c += m
+            return pa.RecordBatch.from_arrays([pa.array(which), pa.array(home), pa.array(best), pa.array(total)], names=names)
+
+        for b in batches:
+            held.append(tuple(np.asarray(b.column(c)).astype(np.int64) for c in ("w", "place", "n")))
+            rows += b.num_rows
+            if rows > HELD // 4:
+                part, held = ready(False)
+                rows = len(held[0][0])
+                if len(part[0]):
+                    yield emit(part)
+        if held and sum(len(w) for w, _, _ in held):
+            part, held = ready(True)
+            yield emit(part)
+        for k, of in enumerate(cells):
+            at = np.flatnonzero(of)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.array(np.full(len(at), k)), pa.array(at), pa.array(of[at].astype(np.int64))], names=names)
+
+    return run
+
+
+def far_classes(links: DataFrame, known: np.ndarray, matrix: np.ndarray, tails: np.ndarray, rounds: int) -> tuple[DataFrame, np.ndarray]:
+    """``key, class, n`` of all far words, and the counts of adjacent classes.
+
+    links: ``a, b, place, n``, where b is null for a far word's counts with units, or the far
+    word that follows a. known: counts of adjacent classes of units alone; matrix: of all, far
+    words being in their tails' classes. Turns in which the objective does not grow do not count.
+    Words with less than LEAST occurrences are among them, in their tails' classes.
+    """
+    by_unit, pairs = links.where("b is null").select(F.col("a").alias("w"), "place", "n"), links.where("b is not null").select("a", "b", "n")
+    of_tail = F.lit([int(t) for t in tails])
+    tail = lambda c: F.get(of_tail, F.col(c).bitwiseAND(TAILS - 1).cast("int"))
+    far = 1 + CLASSES  # far neighbours' classes are told from units'
+    both = pairs.select("a", "b", "n", tail("a").alias("of_a"), tail("b").alias("of_b"))
+    best, homes = None, None
+    for k in range(max(1, rounds)):
+        parts = by_unit.unionByName(both.select(F.col("a").alias("w"), (F.col("of_b") + far).cast("int").alias("place"), "n"))
+        parts = parts.unionByName(both.select(F.col("b").alias("w"), ((F.col("of_a") + far) * SIDE).cast("int").alias("place"), "n"))
+        parts = parts.unionByName(both.where("a = b").select(F.col("a").alias("w"), F.lit(SELF).alias("place"), "n"))
+        if homes is not None:
+            parts = parts.unionByName(homes.select(F.col("key").alias("w"), (F.col("class") + HOME).cast("int").alias("place"), F.lit(0).cast("long").alias("n")))
+        found = written(parts.repartition("w").sortWithinPartitions("w").mapInArrow(_moved(matrix, tails, k % 2), "key long, home long, class long, n long"))
+        new = found.where("key is not null").select("key", "class", "n")
+        if best is None:
+            best = found.where("key is not null").select("key", F.col("home").alias("class"), "n")
+        a, b = (new.select(F.col("key").alias(c), F.col("class").cast("int").alias(f"of_{c}")) for c in "ab")
+        moved = written(pairs.join(a, "a").join(b, "b").select("a", "b", "n", "of_a", "of_b"))
+        total = known.copy()
+        cells = found.where("key is null and home = 1").select(F.col("class").alias("cell"), "n").unionByName(moved.select((F.col("of_a") * CLASSES + F.col("of_b")).cast("long").alias("cell"), "n"))
+        for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CLASSES**2 rows at most
+            total[r.cell // CLASSES, r.cell % CLASSES] += r.n
+        if objective(total) > objective(matrix):
+            best, homes, both, matrix = new, new, moved, total
+    return best, matrix
+
+
 class Model(NamedTuple):
-    """All that scoring needs at hand; its size is bounded by the shares above."""
+    """All that scoring needs at hand; its size is bounded by the share above."""
 
     units: Units
-    classes: np.ndarray
+    classes: np.ndarray  # of units, tails and the end
     transition: np.ndarray  # log10, by class before and class
     emission: np.ndarray  # log10, of a unit within its class
-    spread: np.ndarray  # log10 of what a tail unit's word counts are divided by
-    known: np.ndarray  # sorted keys of words whose counts are at hand
-    count: np.ndarray
+    spread: np.ndarray  # log10 of what a far word's count and one is divided by, by class
+    in_tail: np.ndarray  # log10 of what goes with the count and one of a word in a tail, by tail
+    count: np.ndarray  # of units
     end_count: int
     tokens: int
     types: int
@@ -231,24 +410,26 @@ class Model(NamedTuple):
 
 def fit(train: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model and the table (key, n) of all training words."""
+    return fitted(train, text_col, rounds)[:2]
+
+
+def fitted(train: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the table (key, n) of all training words and that of the far ones (key, class, n)."""
     texts = train.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     counts = texts.mapInArrow(lambda batches: tallied(batches, lambda t, o: word_keys(t, o).key), "key long, n long")
     counts = written(counts.groupBy("key").agg(F.sum("n").alias("n")))
     docs = texts.count()
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tokens, types = total + docs, types + (docs > 0)
-    known = counts.where(F.col("n") * KNOWN_SHARE >= tokens).toPandas()  # KNOWN_SHARE rows at most
+    known = counts.where((F.col("n") * UNIT_SHARE >= tokens) & (F.col("n") >= LEAST)).toPandas()  # UNIT_SHARE rows at most
     key, n = known["key"].to_numpy(np.int64).view(U), known["n"].to_numpy(np.int64)
     order = np.argsort(key)
     key, n = key[order], n[order]
-    unit = n * UNIT_SHARE >= tokens
-    units = Units(key[unit])
-    tails = np.zeros((TAILS, 2))
-    for r in counts.groupBy(F.col("key").bitwiseAND(TAILS - 1).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        tails[r.tail] = r.n, r.v
-    own = (units.key & U(TAILS - 1)).astype(np.int64)
-    tails[:, 0] -= np.bincount(own, weights=n[unit], minlength=TAILS)
-    tails[:, 1] -= np.bincount(own, minlength=TAILS)
+    units = Units(key)
+    tails = np.zeros(TAILS)
+    for r in counts.groupBy(F.col("key").bitwiseAND(TAILS - 1).alias("tail")).agg(F.sum("n").alias("n")).collect():
+        tails[r.tail] = r.n
+    tails -= np.bincount((key & U(TAILS - 1)).astype(np.int64), weights=n, minlength=TAILS)
     size = units.end + 1
 
     def adjacent(text, offs):
@@ -257,22 +438,61 @@ def fit(train: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple
 
     pairs = texts.mapInArrow(lambda batches: tallied(batches, adjacent), "key long, n long")
     pairs = written(pairs.groupBy("key").agg(F.sum("n").alias("n")))
-    weight = np.concatenate((n[unit], tails[:, 0], [docs]))
-    classes, matrix = exchange(pairs, weight, rounds)
-    in_class = np.bincount(classes, weights=weight, minlength=CLASSES)
+    classes, matrix = exchange(pairs, np.concatenate((n, tails, [docs])), rounds)
+    is_tail = lambda unit: (unit >= len(key)) & (unit < units.end)
+    first, second = F.expr(f"key div {size}"), F.col("key") % size
+    alone = class_matrix(pairs.where(~is_tail(first) & ~is_tail(second)), classes, size)
+
+    def neighbours(batches):
+        """a, b, place of each far word with a unit beside it, and of each two far words."""
+        for batch in batches:
+            for _, _, text, offs in tb.slices(batch.column("_text")):
+                w = word_keys(text, offs)
+                before, now, words, far = beside(units, classes, w, len(offs) - 1)[1:]
+                i = np.flatnonzero(far)
+                left = np.where(far[i - 1] & (i > 0), 0, 1 + classes[before[i]])
+                right = np.where(far[i + 1], 0, 1 + classes[now[i + 1]])
+                x = i[(left > 0) | (right > 0)]
+                place = (left * SIDE + right)[(left > 0) | (right > 0)]
+                y = i[far[i + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words[np.concatenate((x, y))].view(np.int64)), pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(words[y + 1].view(np.int64))]), pa.array(np.concatenate((place, np.zeros(len(y), np.int64))).astype(np.int32))],
+                    names=["a", "b", "place"],
+                )
+
+    links = texts.mapInArrow(neighbours, "a long, b long, place int")
+    links = written(links.groupBy("a", "b", "place").agg(F.count("*").alias("n")))
+    far, matrix = far_classes(links, alone, matrix, classes[len(key) : units.end], min(rounds, FAR_ROUNDS))
+    in_class = matrix.sum(0)
     members = np.bincount(classes, minlength=CLASSES)
+    for r in far.where(F.col("n") >= LEAST).groupBy("class").agg(F.count("*").alias("v")).collect():  # CLASSES rows at most
+        members[r["class"]] += r.v
+    left = np.zeros((TAILS, 2))
+    for r in counts.where(F.col("n") < LEAST).groupBy(F.col("key").bitwiseAND(TAILS - 1).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        left[r.tail] = r.n, r.v
     unigram = (in_class + 1) / (in_class.sum() + CLASSES)
     transition = (matrix + PRIOR * unigram) / (matrix.sum(1, keepdims=True) + PRIOR)
-    emission = (weight + 1) / (in_class[classes] + members[classes])
-    spread = np.log10(tails[:, 0] + tails[:, 1] + 1)
-    return Model(units, classes, np.log10(transition), np.log10(emission), spread, key, n, docs, tokens, types), counts
+    spread = np.log10(np.maximum(in_class + members, 1))
+    emission = np.log10(np.concatenate((n, left[:, 0], [docs])) + 1) - spread[classes]
+    in_tail = emission[len(key) : units.end] - np.log10(left.sum(1) + 1)
+    return Model(units, classes, np.log10(transition), emission, spread, in_tail, n, docs, tokens, types), counts, far
 
 
-PARTS = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double, key long, n long"
+def beside(units: Units, classes: np.ndarray, w: tb.Words, rows: int):
+    """Row, unit before, unit and key of each token, each row's end included, and whether it is a far word."""
+    row, before, now = units.sequence(w, rows)
+    words = np.zeros(len(now), U)
+    words[now != units.end] = w.key
+    return row, before, now, words, (now >= len(units.key)) & (now != units.end)
+
+
+PARTS = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double, key long, place long"
+#: Above the place of a far word by its classes: the pair of far words it is one of, and which.
+PAIR = 15
 
 
 def _scored(model):
-    """A row for each text with what is known at hand, and a row for each rarer word in it."""
+    """A row for each text with what is known at hand, and rows for each far word in it: one with its place, one for each far neighbour."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
@@ -281,43 +501,39 @@ def _scored(model):
             ids = np.asarray(batch.column("row"))
             for i, j, text, offs in tb.slices(batch.column("_text")):
                 rows = j - i
-                w = word_keys(text, offs)
-                row, before, now = m.units.sequence(w, rows)
+                row, before, now, words, far = beside(m.units, m.classes, word_keys(text, offs), rows)
                 end = now == m.units.end
-                score = m.transition[m.classes[before], m.classes[now]] + m.emission[now]
-                tail = ~end & (now >= len(m.units.key))
-                score[tail] -= m.spread[now[tail] - len(m.units.key)]
-                at = np.minimum(np.searchsorted(m.known, w.key), max(0, len(m.known) - 1))
-                known = m.known[at] == w.key if len(m.known) else np.zeros(len(w.key), bool)
+                at_hand = ~far
+                next_to = np.append(False, far[:-1])
+                score = np.where(at_hand, m.emission[now], 0.0)
+                score += np.where(far | next_to, 0.0, m.transition[m.classes[before], m.classes[now]])
                 base = np.zeros(len(row))
                 base[end] = np.log10(m.end_count + 1)
-                inner = np.zeros(len(w.key))
-                inner[known] = np.log10(m.count[at[known]] + 1)
-                base[~end] = inner
-                score[tail] += base[tail]
+                base[at_hand & ~end] = np.log10(m.count[now[at_hand & ~end]] + 1)
+                base -= np.log10(m.tokens + m.types + 1)
                 size = np.bincount(row, minlength=rows)
-                rare, of = w.key[~known], w.row[~known]
-                order = np.lexsort((rare, of))
-                rare, of = rare[order], of[order]
-                new = np.concatenate(([True], (rare[1:] != rare[:-1]) | (of[1:] != of[:-1]))) if len(rare) else np.zeros(0, bool)
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(rare)))
-                full = size - np.bincount(of, minlength=rows) - (0 if m.end_count else 1)
-                base = np.bincount(row, weights=base - np.log10(m.tokens + m.types + 1), minlength=rows)
-                k = len(first)
+                full = size - np.bincount(row[far], minlength=rows) - (0 if m.end_count else 1)
+                f = np.flatnonzero(far)
+                left = np.where(next_to[f], 0, 1 + m.classes[before[f]])
+                right = np.where(far[f + 1], 0, 1 + m.classes[now[f + 1]])
+                one = f[far[f + 1]]  # of far words side by side the first
+                which = (one + 1) << (PAIR + 1)
+                place = np.concatenate((np.full(rows, -1), left * SIDE + right, which, which | (1 << PAIR)))
+                of = np.concatenate((f, one, one + 1))
+                k = len(of)
                 # a text's own row has a key of its own, so that such rows spread out in the join
                 none = pa.nulls(k, pa.float64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate((ids[i:j], ids[i:j][of[first]]))),
+                        pa.array(np.concatenate((ids[i:j], ids[i:j][row[of]]))),
                         pa.concat_arrays([batch.column("id")[i:j], pa.nulls(k, pa.int64())]),
                         pa.concat_arrays([batch.column("held_out")[i:j], pa.nulls(k, pa.bool_())]),
                         pa.concat_arrays([pa.array(size.astype(np.int64)), pa.nulls(k, pa.int64())]),
                         pa.concat_arrays([pa.array(full.astype(np.int64)), pa.nulls(k, pa.int64())]),
-                        pa.concat_arrays([pa.array(base), none]),
+                        pa.concat_arrays([pa.array(np.bincount(row, weights=base, minlength=rows)), none]),
                         pa.concat_arrays([pa.array(np.bincount(row, weights=score, minlength=rows)), none]),
-                        pa.array(np.concatenate((tb.mix(ids[i:j].view(U)), rare[first])).view(np.int64)),
-                        pa.array(np.concatenate((np.zeros(rows, np.int64), n))),
+                        pa.array(np.concatenate((tb.mix(ids[i:j].view(U)), words[of])).view(np.int64)),
+                        pa.array(place),
                     ],
                     names=names,
                 )
@@ -337,22 +553,41 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     and by the class model. Null and empty texts have the end alone. Rows with a null id
     are learned from; rows that repeat count each. A model of no text scores all alike.
     """
-    model, counts = fit(docs.where(~held_out(id_col)), text_col, rounds)
+    model, _, far = fitted(docs.where(~held_out(id_col)), text_col, rounds)
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     parts = rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)), PARTS)
-    parts = parts.join(counts.withColumnRenamed("n", "c"), "key", "left")
-    more = F.when(F.col("n") > 0, F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).otherwise(F.lit(0.0))
+    tails = F.lit([int(c) for c in model.classes[len(model.units.key) : model.units.end]])
+    parts = parts.join(far.select("key", F.col("class").cast("int").alias("found"), F.col("n").alias("c")), "key", "left")
+    parts = parts.withColumn("class", F.coalesce("found", F.get(tails, F.col("key").bitwiseAND(TAILS - 1).cast("int"))))
+    change = F.split(F.lit(" ".join(map(repr, model.transition.ravel().tolist()))), " ").cast("array<double>")  # folded to a literal
+    step = lambda a, b: F.get(change, (a * CLASSES + b).cast("int"))
+    before, after = F.floor(F.col("place") / SIDE) - 1, F.col("place") % SIDE - 1
+    word, pair = F.col("place").between(0, (1 << PAIR) - 1), F.col("place") >= 1 << PAIR
+    count = F.log10(F.coalesce("c", F.lit(0)) + 1)
+    fits = F.when(before >= 0, step(before, F.col("class"))).otherwise(0.0) + F.when(after >= 0, step(F.col("class"), after)).otherwise(0.0)
+    spread, in_tail = (F.lit([float(x) for x in v]) for v in (model.spread, model.in_tail))
+    emitted = count + fits + F.when(F.col("c") >= LEAST, -F.get(spread, F.col("class"))).otherwise(F.get(in_tail, F.col("key").bitwiseAND(TAILS - 1).cast("int")))
+    parts = parts.select(
+        "row", "id", "held_out", "n_tokens",
+        F.when(pair, F.shiftright("place", PAIR + 1)).otherwise(F.lit(0)).alias("pair"),
+        F.when(word, F.col("c").isNotNull().cast("long")).otherwise(F.col("n_known")).alias("n_known"),
+        F.when(word, count).otherwise(F.col("base")).alias("base"),
+        F.when(word, emitted).otherwise(F.col("score")).alias("score"),
+        F.when(pair, F.when(F.col("place").bitwiseAND(1 << PAIR) == 0, F.col("class") * CLASSES).otherwise(F.col("class"))).alias("cell"),
+    )
+    both = parts.groupBy("row", "pair").agg(*[F.max(c).alias(c) for c in ("id", "held_out", "n_tokens")], *[F.sum(c).alias(c) for c in ("n_known", "base", "score", "cell")])
+    both = both.withColumn("score", F.when(F.col("pair") > 0, F.get(change, F.col("cell").cast("int"))).otherwise(F.col("score")))
     return (
-        parts.groupBy("row")
+        both.groupBy("row")
         .agg(
             F.max("id").alias(id_col),
             F.max("held_out").alias("held_out"),
             F.max("n_tokens").alias("n_tokens"),
-            (F.max("n_known") + F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0))).alias("n_known"),
+            F.sum("n_known").alias("n_known"),
             F.lit(int(model.tokens)).cast("long").alias("train_tokens"),
-            (F.max("base") + F.sum(more)).alias("base_score"),
-            (F.max("score") + F.sum(more)).alias("score"),
+            F.sum("base").alias("base_score"),
+            F.sum("score").alias("score"),
         )
         .drop("row")
     )

@@ -74,3 +74,73 @@ def test_moves_raise_the_objective(monkeypatch):
             new[i] = k
             change.append(brown.objective(matrix(new)) - brown.objective(matrix(home)))
         assert math.isclose(gain[i], max(change), abs_tol=1e-6) and math.isclose(change[best[i]], max(change), abs_tol=1e-6)
+
+
+def test_far_moves_equal_best_moves():
+    rng = np.random.default_rng(3)
+    n = rng.poisson(0.4, (300, 300)).astype(float)
+    home = rng.integers(0, brown.CLASSES, 300)
+    one = np.eye(brown.CLASSES)[home]
+    matrix, right, left, own = one.T @ n @ one, n @ one, n.T @ one, np.diagonal(n)
+    best, gain = brown.best_moves(matrix, home, right, left, own)
+    change = brown.far_moves(matrix, home, np.concatenate((right, left, own[:, None]), axis=1))
+    each = np.arange(300)
+    assert np.allclose(change.max(1) - change[each, home], gain, atol=1e-6)
+    assert np.allclose(change[each, best], change.max(1), atol=1e-6)
+
+
+def test_rare_words_have_classes_of_their_own(spark, monkeypatch):
+    """Classes and scores of rare words, all of one ending and some side by side, of words seen once and of unseen ones."""
+    monkeypatch.setattr(brown, "UNIT_SHARE", 30)
+    rare = lambda i, sort: f"{sort}{i:03d}zz"
+    pairs = [(i, " ".join(f"a {rare(i, 'x')} b" if (i + k) % 2 else f"c {rare(i, 'y')} {rare(i, 'y')} d" for k in range(6))) for i in range(120)]
+    train = [(i, t) for i, t in pairs if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [(i, t) for i, t in pairs if zlib.crc32(str(i).encode()) % 7 == 2]
+    held[0] = (held[0][0], "a never b  seen zz c never never once")
+    train[0] = (train[0][0], train[0][1] + " once a only zz")
+    model, counts, far = brown.fitted(frame(spark, train))
+    assert len(model.units.key) == 4
+    words = sorted({w for _, t in train + held for w in t.split()})
+    key = {w: int(brown.word_keys(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).key.view(np.int64)[0]) for w in words}
+    found = {r.key: (r["class"], r.n) for r in far.collect()}
+    number = Counter(w for _, t in train for w in t.split())
+    rares = [w for w in number if number[w] > 1 and len(w) > 1]
+    assert {key[w]: number[w] for w in number if len(w) > 1} == {k: n for k, (_, n) in found.items()}
+    assert len({found[key[w]][0] for w in rares}) > 1  # though they have one tail
+
+    unit = {int(k): i for i, k in enumerate(model.units.key.view(np.int64))}
+
+    def of(w):
+        if w is None:
+            return 0
+        k = key[w]
+        return int(model.classes[unit[k]]) if k in unit else found[k][0] if k in found else int(model.classes[len(unit) + (k & 31)])
+
+    cells, in_class, members = Counter(), Counter({0: len(train)}), Counter(model.classes.tolist())
+    for _, t in train:
+        w = [None, *t.split(), None]
+        cells.update((of(a), of(b)) for a, b in zip(w, w[1:]))
+        in_class.update(of(a) for a in t.split())
+    members.update(c for c, n in found.values() if n > 1)
+    once = Counter(key[w] & 31 for w in number if number[w] == 1)
+    rows = Counter()
+    for (a, _), n in cells.items():
+        rows[a] += n
+    total = sum(in_class.values())
+    step = lambda a, b: math.log10((cells[a, b] + brown.PRIOR * (in_class[b] + 1) / (total + brown.CLASSES)) / (rows[a] + brown.PRIOR))
+
+    def emitted(w):
+        if w is None or number[w] > 1:
+            return math.log10(((len(train) if w is None else number[w]) + 1) / (in_class[of(w)] + members[of(w)]))
+        tail = key[w] & 31
+        c = int(model.classes[len(unit) + tail])
+        assert of(w) == c
+        return math.log10((once[tail] + 1) / (in_class[c] + members[c]) * (number[w] + 1) / (2 * once[tail] + 1))
+
+    want = {}
+    for i, t in train + held:
+        w = [None, *t.split(), None]
+        want[i] = sum(step(of(a), of(b)) + emitted(b) for a, b in zip(w, w[1:]))
+    got = brown.lm_scores(frame(spark, train + held)).collect()
+    same(got, base(train + held))
+    assert all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got) and len(got) == len(want)
