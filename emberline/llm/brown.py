@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm import textbytes as tb
-from emberline.llm.lineage import written
+from emberline.llm.lineage import discard, written
 
 CLASSES, ROUNDS = 64, 6
 TAILS = 32
@@ -442,6 +442,7 @@ def fitted(train: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tu
     is_tail = lambda unit: (unit >= len(key)) & (unit < units.end)
     first, second = F.expr(f"key div {size}"), F.col("key") % size
     alone = class_matrix(pairs.where(~is_tail(first) & ~is_tail(second)), classes, size)
+    discard(pairs)
 
     def neighbours(batches):
         """a, b, place of each far word with a unit beside it, and of each two far words."""
@@ -463,6 +464,7 @@ def fitted(train: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tu
     links = texts.mapInArrow(neighbours, "a long, b long, place int")
     links = written(links.groupBy("a", "b", "place").agg(F.count("*").alias("n")))
     far, matrix = far_classes(links, alone, matrix, classes[len(key) : units.end], min(rounds, FAR_ROUNDS))
+    discard(links)
     in_class = matrix.sum(0)
     members = np.bincount(classes, minlength=CLASSES)
     for r in far.where(F.col("n") >= LEAST).groupBy("class").agg(F.count("*").alias("v")).collect():  # CLASSES rows at most
