@@ -34,6 +34,8 @@ FAR_ROUNDS = 2
 LEAST = 2
 #: Words with at least one of so many tokens are units, whose counts and classes are at hand.
 UNIT_SHARE = 200_000
+#: Of far words, those with at least one of UNIT_SHARE * NEAR tokens are scored at hand, like units.
+NEAR = 10
 #: Weight of the class unigram in a transition.
 PRIOR = 4.0
 #: Distinct keys that a task gathers before it passes them on.
@@ -292,7 +294,8 @@ def _moved(matrix: np.ndarray, tails: np.ndarray, turn: int):
     width = 2 * CLASSES + 1
 
     def solve(word, place, n):
-        which, at = np.unique(word, return_inverse=True)
+        first = np.append(True, word[1:] != word[:-1])[: len(word)]
+        which, at = word[first], np.cumsum(first) - 1
         home = tails[which & (TAILS - 1)]
         told = place >= HOME
         home[at[told]] = place[told] - HOME
@@ -300,22 +303,24 @@ def _moved(matrix: np.ndarray, tails: np.ndarray, turn: int):
         before, after = np.where(usual, place // SIDE - 1, -1), np.where(usual, place % SIDE - 1, -1)
         after_home, before_home = after >= CLASSES, before >= CLASSES  # a far neighbour's class, which is none of the cells
         right, left = after % CLASSES, before % CLASSES
-        best = np.empty(len(which), np.int64)
-        total = np.empty(len(which), np.int64)
-        edge = np.append(np.arange(0, len(which), CHUNK), len(which))
-        for a, b in zip(edge[:-1], edge[1:]):
-            lo, hi = np.searchsorted(at, [a, b])
-            i, k = at[lo:hi] - a, n[lo:hi]
-            p = [(i * width + right[lo:hi])[after[lo:hi] >= 0], (i * width + CLASSES + left[lo:hi])[before[lo:hi] >= 0], (i * width + 2 * CLASSES)[place[lo:hi] == SELF]]
-            q = [k[after[lo:hi] >= 0], k[before[lo:hi] >= 0], k[place[lo:hi] == SELF]]
-            wide = np.bincount(np.concatenate(p), weights=np.concatenate(q), minlength=(b - a) * width).reshape(b - a, width)
-            change = far_moves(matrix, home[a:b], wide)
+        total = np.rint(np.bincount(at[after >= 0], weights=n[after >= 0], minlength=len(which))).astype(np.int64)
+        best = home.copy()
+        may = (total >= LEAST) & ((which // TAILS) % 2 == turn)  # the others stay, so nothing is sought for them
+        movers, mine = np.flatnonzero(may), np.flatnonzero(may[at])
+        mover = (np.cumsum(may) - 1)[at[mine]]
+        for a in range(0, len(movers), CHUNK):
+            some = movers[a : a + CHUNK]
+            rows = mine[slice(*np.searchsorted(mover, [a, a + CHUNK]))]
+            i = np.searchsorted(some, at[rows])
+            r, l, s = after[rows] >= 0, before[rows] >= 0, place[rows] == SELF  # noqa: E741
+            p = [(i * width + right[rows])[r], (i * width + CLASSES + left[rows])[l], (i * width + 2 * CLASSES)[s]]
+            k = n[rows]
+            wide = np.bincount(np.concatenate(p), weights=np.concatenate((k[r], k[l], k[s])), minlength=len(some) * width).reshape(len(some), width)
+            change = far_moves(matrix, home[some], wide)
             change[:, 0] = -np.inf  # the end's own
             # of equal ones the class it has
-            change[np.arange(b - a), home[a:b]] += 1e-9
-            best[a:b] = change.argmax(1)
-            total[a:b] = np.rint(wide[:, :CLASSES].sum(1))
-        best = np.where((total < LEAST) | ((which // TAILS) % 2 != turn), home, best)
+            change[np.arange(len(some)), home[some]] += 1e-9
+            best[some] = change.argmax(1)
         cells = []
         for of in (home, best):
             c = of[at]
@@ -371,7 +376,7 @@ def far_classes(links: DataFrame, known: np.ndarray, matrix: np.ndarray, tails:
     tail = lambda c: F.get(of_tail, F.col(c).bitwiseAND(TAILS - 1).cast("int"))
     far = 1 + CLASSES  # far neighbours' classes are told from units'
     both = pairs.select("a", "b", "n", tail("a").alias("of_a"), tail("b").alias("of_b"))
-    best, homes = None, None
+    best, homes, of_best, last = None, None, None, None
     for k in range(max(1, rounds)):
         parts = by_unit.unionByName(both.select(F.col("a").alias("w"), (F.col("of_b") + far).cast("int").alias("place"), "n"))
         parts = parts.unionByName(both.select(F.col("b").alias("w"), ((F.col("of_a") + far) * SIDE).cast("int").alias("place"), "n"))
@@ -381,15 +386,21 @@ def far_classes(links: DataFrame, known: np.ndarray, matrix: np.ndarray, tails:
         found = written(parts.repartition("w").sortWithinPartitions("w").mapInArrow(_moved(matrix, tails, k % 2), "key long, home long, class long, n long"))
         new = found.where("key is not null").select("key", "class", "n")
         if best is None:
-            best = found.where("key is not null").select("key", F.col("home").alias("class"), "n")
+            best, of_best = found.where("key is not null").select("key", F.col("home").alias("class"), "n"), found
         a, b = (new.select(F.col("key").alias(c), F.col("class").cast("int").alias(f"of_{c}")) for c in "ab")
         moved = written(pairs.join(a, "a").join(b, "b").select("a", "b", "n", "of_a", "of_b"))
         total = known.copy()
         cells = found.where("key is null and home = 1").select(F.col("class").alias("cell"), "n").unionByName(moved.select((F.col("of_a") * CLASSES + F.col("of_b")).cast("long").alias("cell"), "n"))
         for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CLASSES**2 rows at most
             total[r.cell // CLASSES, r.cell % CLASSES] += r.n
-        if objective(total) > objective(matrix):
-            best, homes, both, matrix = new, new, moved, total
+        grows = objective(total) > objective(matrix)
+        for old in [last if grows else moved, of_best if grows else found]:
+            if old is not None and old is not (found if grows else of_best):
+                discard(old)
+        if grows:
+            best, homes, both, matrix, of_best, last = new, new, moved, total, found, moved
+    if last is not None:
+        discard(last)
     return best, matrix
 
 
@@ -480,6 +491,22 @@ def fitted(train: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tu
     return Model(units, classes, np.log10(transition), emission, spread, in_tail, n, docs, tokens, types), counts, far
 
 
+def at_hand(model: Model, far: DataFrame) -> tuple[Model, DataFrame]:
+    """The model with the commoner far words, by class and count, among its units, and the other far words.
+
+    A word's score is the same by either way; it only needs no join.
+    """
+    common = (F.col("n") * UNIT_SHARE * NEAR >= model.tokens) & (F.col("n") >= LEAST)
+    found = far.where(common).toPandas()  # UNIT_SHARE * NEAR rows at most
+    more, of, n = (found[c].to_numpy(np.int64) for c in ("key", "class", "n"))
+    key, old = np.concatenate((model.units.key, more.view(U))), len(model.units.key)
+    order = np.argsort(key)
+    merged = lambda a, b: np.concatenate((np.concatenate((a[:old], b))[order], a[old:]))
+    emission = np.log10(n + 1) - model.spread[of]
+    units = Units(key[order])
+    return model._replace(units=units, classes=merged(model.classes, of), emission=merged(model.emission, emission), count=np.concatenate((model.count, n))[order]), far.where(~common)
+
+
 def beside(units: Units, classes: np.ndarray, w: tb.Words, rows: int):
     """Row, unit before, unit and key of each token, each row's end included, and whether it is a far word."""
     row, before, now = units.sequence(w, rows)
@@ -555,7 +582,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     and by the class model. Null and empty texts have the end alone. Rows with a null id
     are learned from; rows that repeat count each. A model of no text scores all alike.
     """
-    model, _, far = fitted(docs.where(~held_out(id_col)), text_col, rounds)
+    model, counts, far = fitted(docs.where(~held_out(id_col)), text_col, rounds)
+    discard(counts)
+    model, far = at_hand(model, far)
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     parts = rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)), PARTS)

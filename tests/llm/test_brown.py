@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 from emberline.llm import brown
@@ -144,3 +145,44 @@ def test_rare_words_have_classes_of_their_own(spark, monkeypatch):
     got = brown.lm_scores(frame(spark, train + held)).collect()
     same(got, base(train + held))
     assert all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got) and len(got) == len(want)
+
+
+def test_commoner_far_words_are_scored_at_hand(spark, monkeypatch):
+    """By one way or the other, scores are the same, and what is at hand isn't left to the join."""
+    monkeypatch.setattr(brown, "UNIT_SHARE", 8)
+    pairs = [(i, " ".join(f"w{(i * k) % 37} a b" for k in range(20)) + f" own{i} own{i}") for i in range(40)]
+    train = frame(spark, [(i, t) for i, t in pairs if zlib.crc32(str(i).encode()) % 7 != 2])
+    model, counts, far = brown.fitted(train)
+    more, rest = brown.at_hand(model, far)
+    number = {r.key: r.n for r in counts.collect()}
+    least = model.tokens / (brown.UNIT_SHARE * brown.NEAR)
+    assert {int(k): int(n) for k, n in zip(more.units.key.view(np.int64), more.count)} == {k: n for k, n in number.items() if n >= least}
+    assert {r.key for r in rest.collect()} == {k for k, n in number.items() if n < least}
+    assert len(model.units.key) < len(more.units.key) < len(number)
+    near = {r.doc_id: r.score for r in brown.lm_scores(frame(spark, pairs)).collect()}
+    monkeypatch.setattr(brown, "NEAR", 0)
+    assert all(math.isclose(r.score, near[r.doc_id], rel_tol=1e-9) for r in brown.lm_scores(frame(spark, pairs)).collect())
+
+
+def test_moves_are_sought_for_movers_only(monkeypatch):
+    """Words seen once and those of the other turn stay, and no move is sought for them."""
+    rng, sought, plain = np.random.default_rng(4), [], brown.far_moves
+    monkeypatch.setattr(brown, "far_moves", lambda m, home, wide: sought.append(len(home)) or plain(m, home, wide))
+    monkeypatch.setattr(brown, "CHUNK", 7)
+    word = np.sort(rng.integers(0, 400, 900)) * brown.TAILS
+    place = (1 + rng.integers(0, brown.CLASSES, 900)) * brown.SIDE + 1 + rng.integers(0, brown.CLASSES, 900)
+    batch = pa.RecordBatch.from_arrays([pa.array(word), pa.array(place), pa.array(np.ones(900, np.int64))], names=["w", "place", "n"])
+    matrix, tails = rng.poisson(20, (brown.CLASSES, brown.CLASSES)).astype(float), np.full(brown.TAILS, 3)
+    rows = [r for b in brown._moved(matrix, tails, 1)([batch]) for r in b.to_pylist() if r["key"] is not None]
+    which, n = np.unique(word, return_counts=True)
+    movers = {int(w) for w, k in zip(which, n) if k >= brown.LEAST and w // brown.TAILS % 2 == 1}
+    assert {r["key"]: r["n"] for r in rows} == dict(zip(which.tolist(), n.tolist()))
+    assert sum(sought) == len(movers) and {r["key"] for r in rows if r["class"] != 3} <= movers
+    for r in rows:
+        if r["key"] in movers:
+            wide = np.zeros((1, 2 * brown.CLASSES + 1))
+            for p in place[word == r["key"]]:
+                wide[0, p % brown.SIDE - 1] += 1
+                wide[0, brown.CLASSES + p // brown.SIDE - 1] += 1
+            change = plain(matrix, np.array([3]), wide)[0]
+            assert r["class"] == 1 + change[1:].argmax()
