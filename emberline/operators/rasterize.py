@@ -45,11 +45,24 @@ def circle(matches: DataFrame, cell: float = tables.CELL, size: float = tables.W
     return rows.where(F.col("row").between(0, width - 1) & F.col("col").between(0, width - 1)).distinct()
 
 
-def fractional(matches: DataFrame, cell: float = tables.CELL, size: float = tables.WINDOW, parts: int = 5, radius: float = tables.CELL) -> DataFrame:
-    """The ``share`` of a cell within ``radius`` of a detection, from ``parts`` x ``parts`` cells in each."""
-    fine = circle(matches, cell / parts, size, radius)
-    at = lambda c: F.expr(f"{c} div {parts}").cast("int").alias(c)
-    return fine.groupBy(*KEY, at("row"), at("col")).agg((F.count("*") / F.lit(float(parts * parts))).alias("share"))
+def fractional(matches: DataFrame, cell: float = tables.CELL, size: float = tables.WINDOW, parts: int = tables.PARTS, radius: float = tables.CELL) -> DataFrame:
+    """The ``share`` of a cell within ``radius`` of a detection, from ``parts`` x ``parts`` cells in each.
+
+    A row of small cells in a cell is a number of ``parts`` bits, at most 62; each row of a
+    disc marks some of them, so a small cell is never a row.
+    """
+    if parts > 62:
+        raise ValueError("more parts than bits")
+    small, width = cell / parts, int(size // cell)
+    r = max(1, math.floor(radius / small))
+    rows = with_cells(matches, small, size).select(*KEY, "row", "col").distinct()
+    # of each row of the disc the first and last column, then those in each cell that it reaches
+    lines = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(math.isqrt(r * r - a * a)).alias("b")) for a in range(-r, r + 1)]))
+    rows = rows.withColumn("o", lines).select(*KEY, (F.col("row") + F.col("o.a")).alias("row"), F.greatest(F.col("col") - F.col("o.b"), F.lit(0)).alias("lo"), F.least(F.col("col") + F.col("o.b"), F.lit(width * parts - 1)).alias("hi"))
+    rows = rows.where(F.col("row").between(0, width * parts - 1)).withColumn("c", F.explode(F.sequence(F.expr(f"lo div {parts}"), F.expr(f"hi div {parts}"))))
+    bits = F.expr(f"shiftleft(1L, cast(least(hi - c * {parts}, {parts - 1}) as int) + 1) - shiftleft(1L, cast(greatest(lo - c * {parts}, 0) as int))")
+    held = rows.groupBy(*KEY, "row", F.col("c").cast("int").alias("col")).agg(F.bit_or(bits).alias("bits"))
+    return held.groupBy(*KEY, F.expr(f"row div {parts}").cast("int").alias("row"), "col").agg((F.sum(F.bit_count("bits")) / F.lit(float(parts * parts))).alias("share"))
 
 
 METHODS: dict[str, Callable[..., DataFrame]] = {"exact": exact, "date": recency, "circle": circle, "fractional": fractional}
