@@ -143,3 +143,28 @@ def test_pairs_of_the_window_join_come_from_a_shuffle(spark, capsys):
     capsys.readouterr()
     found.explain()
     assert "SortMergeJoin" in capsys.readouterr().out
+
+
+def test_cells_of_points_in_turn_are_those_of_points_by_themselves(spark, capsys):
+    """Last times are kept from one hour's points to the next; rows come of compiled steps."""
+    rng = random.Random(21)
+    at = lambda: T0 + dt.timedelta(minutes=rng.randrange(6000))
+    p = [(k, at(), 1000.0 + rng.uniform(0, 900), 1000.0 + 250 * rng.randrange(8)) for k in range(60)]
+    d = [(k, at(), rng.uniform(0, 4000), 125.0 * rng.randrange(32)) for k in range(3000)]
+    options = dict(lags=(0, 1), step_hours=12, burn_hours=40, size=2000, cell=250)
+    found = wc.dated_stack(spark.createDataFrame(p, POINT), spark.createDataFrame(d, DETECTION), **options)
+    windows = [("observed", 0, -3, 3), ("observed", 1, -15, -9), ("target", 1, 9, 15), ("target", 2, 21, 27), ("burned", 0, -49, -9)]
+    want = {}
+    for i, t, x, y in p:
+        for kind, step, lo, hi in windows:
+            for _, u, a, b in d:
+                col = int((a - x + 1000) // 250)
+                row = int((8 - (b - y + 1000) / 250) // 1)
+                if t + lo * HOUR <= u < t + hi * HOUR and max(abs(a - x), abs(b - y)) <= 1000 and 0 <= row < 8 and 0 <= col < 8:
+                    key, hours = (i, kind, step, 7 - row, col), (t - u) // HOUR if kind == "burned" else None
+                    want[key] = min(want.get(key, hours), hours) if hours is not None else None
+    assert {tuple(r)[:5]: r.hours for r in found.collect()} == want and len(want) > 3000
+    for plan in (found, wc.rasterized(spark.createDataFrame(p, POINT), spark.createDataFrame(d, DETECTION), [(0, "a", -3, 3), (1, "b", 3, 9)], "date")):
+        capsys.readouterr()
+        plan.explain()
+        assert "lambda" not in capsys.readouterr().out
