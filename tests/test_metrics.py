@@ -122,3 +122,17 @@ def test_losses_of_dense_grids_equal_those_of_their_cells(spark, new):
     one = spark.createDataFrame(cells, "example_id int, row int, col int, y double, y_hat double, x_hist double")
     want = {r.example_id: (r.error, r.weight) for r in metrics.perimeter_losses(one, 60, 60, new=new).collect()}
     assert len(got) > 90 and len(want) > 15 and {k: v for k, v in got.items() if k < 20} == want
+
+
+def test_a_point_of_a_border_is_held_against_few_neighbours():
+    """All 1,244 neighbours in reach were tried for each point with a free sector; a free sector has some 20."""
+    o = metrics._circles(0.1)
+    assert len(o.r) == 1244 and max(len(t) for t in o.touch) < 60 and sum(len(t) for t in o.touch) < 1.1 * len(o.r)
+    assert [len(t) for _, t in o.tables] == [1, 1 << 8, 1 << 12]
+    rng = np.random.default_rng(9)
+    for alpha, share in ((0.1, 0.97), (0.4, 0.9), (1.0, 0.8), (0.3, 0.1)):
+        held = rng.random((4, 20, 26)) < share
+        got = metrics.outlines(held, alpha)
+        for k in range(4):
+            shape = metrics.alpha_shape(np.argwhere(held[k]), alpha)
+            assert (got[k] == (metrics.drawn(shape, 20, 26) if len(shape) else held[k])).all(), (alpha, share, k)
