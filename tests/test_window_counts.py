@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from emberline.operators import window_cells as wc
 from emberline.operators import window_counts as wn
 from emberline.operators import window_join as wj
 from tests.test_window_cells import DETECTION, HOUR, POINT, T0, made
@@ -43,3 +44,29 @@ def test_last_is_left_out_before_the_pairs_are_made(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # the join that makes pairs is the topmost, so they are joined with nothing more
     assert "Inner" in next(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_a_task_counts_few_detections_at_once(spark, monkeypatch):
+    p, d = made(spark, 10, 40, 1200, 2e4)
+    windows, mark = wj.standard_windows(), F.col("det_id") % 3 == 0
+    want = sorted(tuple(r) for r in wn.counted(p, d, windows, mark=mark).collect())
+    pairs = wj.window_join(p, d, windows).groupBy("point_id", "layer").agg(F.count("*"), F.count_if(mark))
+    assert want == sorted(tuple(r) for r in pairs.collect()) and len(want) > 150
+    for batch in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            rows = wc.dealt(p, d, windows, 22500, 375, mark, points_first=True).toArrow().to_batches(int(batch))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        most, plain = [], wn.before
+        with monkeypatch.context() as m:
+            m.setattr(wn, "CHUNK", 32)
+            m.setattr(wn, "before", lambda us, *more: most.append(len(us)) or plain(us, *more))
+            run = wn._counted(np.array([(w[2] * wn.HOUR, w[3] * wn.HOUR) for w in windows]), [w[0] for w in windows], 11250.0, True)
+            got = {}
+            for part in run(iter(rows)):
+                for r in part.to_pylist():
+                    k = (r["point_id"], r["layer"])
+                    got[k] = [a + b for a, b in zip(got.get(k, (0, 0)), (r["n"], r["n_marked"]))]
+        assert sorted((*k, *v) for k, v in got.items()) == want
+        assert max(most) == 32 and len(most) > 50
